@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +10,8 @@ _DESIGNATED = (
     rf"^([+-]?)P(?=[\dT])(?:{_N}Y)?(?:{_N}M)?(?:{_N}W)?(?:{_N}D)?"
     rf"(?:T(?:{_N}H)?(?:{_N}M)?(?:{_N}S)?)?$"
 )
+# Between the groups of a match; a control character no duration contains.
+_CUT = "\u0001"
 # The calendar-like spelling of ISO 8601, PYYYY-MM-DDThh:mm:ss.
 _CALENDAR = r"^([+-]?)P(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})$"
 
@@ -28,13 +28,27 @@ INTERVAL_SECONDS = {
 }
 
 
-def _hours(negative: Column, years, months, weeks, days, hours, minutes, seconds) -> Column:
+def _fields(text: Column, pattern: str, groups: int) -> Column:
+    """Sign (1 or -1) and numbers of a duration as texts, from a single match.
+
+    Every number gets a leading zero, so an absent one reads 0.  Text that does
+    not match gives an array of another length.
+    """
+    layout = _CUT.join(["$11"] + [f"0${i}" for i in range(2, groups + 1)])  # "$1" then the digit 1
+    return F.split(F.regexp_replace(F.replace(text, F.lit(","), F.lit(".")), pattern, layout), _CUT)
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _hours(sign: Column, years: Column, months: Column, seconds: Column) -> Column:
     """Years and months are resolved as calendar time from 1970-01-01, the rest is exact."""
-    sign = F.when(negative, F.lit(-1)).otherwise(F.lit(1))
     epoch = F.lit("1970-01-01").cast("date")
-    calendar = F.datediff(F.add_months(epoch, (sign * (years * 12 + months)).cast("int")), epoch)
-    exact = weeks * 604800 + days * 86400 + hours * 3600 + minutes * 60 + seconds
-    return F.round(calendar * 86400.0 + sign * exact, 6) / 3600.0
+    later = F.add_months(epoch, (sign * (years * 12 + months)).cast("int"))
+    calendar = F.when(years + months > 0, F.datediff(later, epoch) * 86400.0).otherwise(0.0)
+    return (calendar + sign * seconds) / 3600.0
 
 
 def iso_duration_hours(text: Column, strict: bool = False) -> Column:
@@ -43,44 +57,42 @@ def iso_duration_hours(text: Column, strict: bool = False) -> Column:
     Text that is not a duration, and fractional years or months (which have no
     calendar length), give NULL; with ``strict`` they fail the job instead.
     """
-
-    def part(i: int) -> Column:
-        found = F.replace(F.regexp_extract(text, _DESIGNATED, i), F.lit(","), F.lit("."))
-        return F.coalesce(found.try_cast("double"), F.lit(0.0))
-
-    def cal(i: int) -> Column:
-        return F.regexp_extract(text, _CALENDAR, i).try_cast("double")
-
-    years, months = part(2), part(3)
-    whole = (years == F.floor(years)) & (months == F.floor(months))
-    designated = _hours(
-        F.regexp_extract(text, _DESIGNATED, 1) == "-",
-        years, months, part(4), part(5), part(6), part(7), part(8),
-    )
-    calendar = _hours(
-        F.regexp_extract(text, _CALENDAR, 1) == "-",
-        cal(2), cal(3), F.lit(0.0), cal(4), cal(5), cal(6), cal(7),
-    )
     bad = F.lit(None).cast("double")
     if strict:
-        bad = F.when(
-            text.isNotNull(),
-            F.raise_error(F.concat(F.lit("not an ISO 8601 duration: "), text)).cast("double"),
-        )
-    return (
-        F.when(text.rlike(_DESIGNATED) & whole, designated)
-        .when(text.rlike(_CALENDAR), calendar)
-        .otherwise(bad)
-    )
+        bad = F.raise_error(F.concat(F.lit("not an ISO 8601 duration: "), text)).cast("double")
+
+    def designated(n: Column) -> Column:
+        seconds = n[3] * 604800 + n[4] * 86400 + n[5] * 3600 + n[6] * 60 + n[7]
+        whole = (n[1] == F.floor(n[1])) & (n[2] == F.floor(n[2]))
+        return F.when(n[1] + n[2] == 0, n[0] * seconds / 3600.0).when(
+            whole, _hours(n[0], n[1], n[2], seconds)
+        ).otherwise(bad)
+
+    def calendar(n: Column) -> Column:
+        seconds = n[3] * 86400 + n[4] * 3600 + n[5] * 60 + n[6]
+        return _hours(n[0], n[1], n[2], seconds)
+
+    def parse(pattern: str, groups: int, value, otherwise: Column) -> Column:
+        # The cast runs on matches only: a failing one costs an exception per row.
+        def matched(fields: Column) -> Column:
+            numbers = _let(fields.try_cast("array<double>"), value)
+            return F.when(F.size(fields) == groups, numbers).otherwise(otherwise)
+
+        return _let(_fields(text, pattern, groups), matched)
+
+    other = parse(_CALENDAR, 7, calendar, bad)
+    return F.when(text.isNotNull(), parse(_DESIGNATED, 8, designated, other))
 
 
 def interval_seconds(interval: Column) -> Column:
     """Seconds of an interval object ``MAP<STRING, DOUBLE>``; unknown units count nothing."""
-    terms = [
-        F.coalesce(F.try_element_at(interval, F.lit(unit)), F.lit(0.0)) * F.lit(float(seconds))
-        for unit, seconds in INTERVAL_SECONDS.items()
-    ]
-    return reduce(lambda a, b: a + b, terms)
+    factors = F.create_map(*[F.lit(x) for u, n in INTERVAL_SECONDS.items() for x in (u, float(n))])
+
+    def add(total: Column, entry: Column) -> Column:
+        factor = F.coalesce(F.try_element_at(factors, entry["key"]), F.lit(0.0))
+        return total + F.coalesce(entry["value"], F.lit(0.0)) * factor
+
+    return F.aggregate(F.map_entries(interval), F.lit(0.0), add)
 
 
 def interval_hours(interval: Column) -> Column:

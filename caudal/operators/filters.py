@@ -131,12 +131,13 @@ def observations_between(
 ) -> DataFrame:
     """Observations of a half-open time range, optionally of some series (F-05).
 
-    A plain comparison on the stored timestamp: it is pushed into the scan and
-    prunes date partitions.
+    A plain comparison of the stored column with a constant of its own type: it
+    is pushed into the scan and prunes date partitions.
     """
+    stored = observations.schema["timestart"].dataType
     result = observations.filter(
-        (F.col("timestart") >= F.lit(timestart).cast("timestamp"))
-        & (F.col("timestart") < F.lit(timeend).cast("timestamp"))
+        (F.col("timestart") >= F.lit(timestart).cast(stored))
+        & (F.col("timestart") < F.lit(timeend).cast(stored))
     )
     ids = _as_list(series_id)
     return result.filter(F.col("series_id").isin(ids)) if ids else result

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more distinct values than this is ranked in slices.
+# A group with more rows than this is ranked in slices.
 SLICE_ABOVE = 1_000_000
 SLICES = 64
 MAX_SLICED_GROUPS = 10_000
@@ -46,38 +46,38 @@ def exact_quantiles(
     Spark's own ``percentile`` keeps all distinct values of a group in one
     aggregation buffer.  Here the values are first counted per (group, value),
     which spreads a hot group over all tasks, and the wanted ranks are read off
-    a running count.  A group with very many distinct values is cut into value
-    slices that are ranked in parallel and put together through the slice
-    totals.
-
-    At most ``max_sliced`` groups are sliced, the ones with most values.  That
-    bounds the broadcast tables by ``max_sliced * slices`` rows, and any group
-    left whole is then smaller than one part in ``max_sliced`` of the data.
-    All groups take an exact path.
+    a running count.  A group with very many rows is cut into value slices that
+    are ranked in parallel and put together through the slice totals.
+
+    Only the histogram moves data in bulk.  Finding the hot groups, their cut
+    points and their slice totals are aggregates that combine on the map side
+    to a few rows per task, and without a hot group the last two do not run.
+
+    At most ``max_sliced`` groups are sliced, the largest ones.  That bounds
+    the broadcast tables by ``max_sliced * slices`` rows, and any group left
+    whole is then smaller than one part in ``max_sliced`` of the data.  All
+    groups take an exact path.
     """
     v, c = F.col("_v"), F.col("_c")
-    histogram = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    for name in ("_v", *keys):
+        rows = rows.filter(F.col(name).isNotNull())
     hot = (
-        histogram.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > slice_above)
         .orderBy(F.desc("_n")).limit(max_sliced)
     )
     # Cut points only balance the slices; an approximation is enough for that.
     cuts = (
-        histogram.join(F.broadcast(hot.select(keys)), keys, "left_semi")
+        rows.join(F.broadcast(hot.select(keys)), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000).alias("_cuts"))
     )
-    def slice_of(cuts_column: str) -> Column:
-        return F.size(F.filter(cuts_column, lambda cut: cut < v))
-
+    slice_of = F.size(F.filter("_cuts", lambda cut: cut < v))
     sliced = (
-        histogram.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_slice", F.coalesce(F.when(F.col("_cuts").isNotNull(), slice_of("_cuts")), F.lit(-1)))
+        rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        .join(F.broadcast(cuts), keys, "left")
+        .withColumn("_slice", F.coalesce(F.when(F.col("_cuts").isNotNull(), slice_of), F.lit(-1)))
         .drop("_cuts")
     )
 
@@ -90,9 +90,8 @@ def exact_quantiles(
     group = Window.partitionBy(*keys)
     before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slice_totals = (
-        histogram.join(F.broadcast(cuts), keys)
-        .withColumn("_slice", slice_of("_cuts"))
-        .groupBy(*keys, "_slice").agg(F.sum(c).alias("_k"), F.sum(v * c).alias("_s"))
+        rows.join(F.broadcast(cuts), keys)
+        .groupBy(*keys, slice_of.alias("_slice")).agg(F.count(F.lit(1)).alias("_k"), F.sum(v).alias("_s"))
         .select(
             *keys, "_slice",
             F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"),

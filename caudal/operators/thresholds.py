@@ -26,19 +26,20 @@ def monthly_means(stats: Column) -> dict[str, Column]:
 
 def monthly_columns(stats: Column) -> dict[str, Column]:
     """THRESHOLD_<month>_<q> for the twelve 0-based months; the last row of a month wins (A-02)."""
-    columns = {}
-    for index, month in enumerate(MONTHS):
-        row = F.try_element_at(F.filter(stats, lambda m, i=index: m["mon"] == i), F.lit(-1))
-        for q in MONTHLY_QUANTITIES:
-            columns[f"THRESHOLD_{month}_{q}"] = row[q]
-    return columns
 
+    def row(index: int) -> Column:
+        return F.try_element_at(F.filter(stats, lambda m: m["mon"] == index), F.lit(-1))
 
-def percentile_columns(stats: Column, wanted: list[float]) -> dict[str, Column]:
-    """THRESHOLD_Pnn: the first value listed for each wanted percentile (A-03)."""
     return {
-        percentile_column(p): F.get(
-            F.filter(stats, lambda x, p=p: x["percentile"] == p), F.lit(0)
-        )["valor"]
-        for p in wanted
+        f"THRESHOLD_{month}_{q}": row(index)[q]
+        for index, month in enumerate(MONTHS) for q in MONTHLY_QUANTITIES
     }
+
+
+def percentile_columns(stats: Column, wanted: list[float]) -> dict[str, Column]:
+    """THRESHOLD_Pnn: the first value listed for each wanted percentile (A-03)."""
+
+    def first(p: float) -> Column:
+        return F.get(F.filter(stats, lambda x: x["percentile"] == p), F.lit(0))["valor"]
+
+    return {percentile_column(p): first(p) for p in wanted}

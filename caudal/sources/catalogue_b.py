@@ -34,7 +34,7 @@ def conform_observations(raw: DataFrame) -> DataFrame:
 
     def minute(name: str):
         c = F.col(name)
-        ts = c if dict(raw.dtypes)[name].startswith("timestamp") else instant(c)
+        ts = c.cast("timestamp") if dict(raw.dtypes)[name].startswith("timestamp") else instant(c)
         return round_to_minute(ts).alias(name)
 
     return raw.withColumns(

@@ -11,30 +11,43 @@ from caudal.functions.text import unescape_entities
 _HEADER_FIELDS = ("identifier", "datestamp", "setSpec")
 
 
-def _xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    return (
-        spark.read.format("xml").option("rowTag", tag).option("mode", "FAILFAST")
-        .schema(schema).load(path)
+def _elements(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """(page, element) of every ``<tag>`` in a folder of XML pages.
+
+    The text is cut at the closing tag instead of parsing whole documents:
+    pages may then be of any size, several to a file, and are split over tasks.
+    """
+    element = rf"(?s)<{tag}(?:\s[^>]*)?/>|<{tag}(?:\s[^>/]*|\s[^>]*[^/>])?>(?:(?!<{tag}[\s>]).)*\z"
+    chunks = spark.read.option("lineSep", f"</{tag}>").text(path)
+    found = chunks.select(
+        F.col("_metadata.file_path").alias("page"),
+        F.explode(F.regexp_extract_all("value", F.lit(element), 0)).alias("xml"),
+    )
+    closed = F.when(F.endswith("xml", F.lit("/>")), F.col("xml")).otherwise(
+        F.concat("xml", F.lit(f"</{tag}>"))
+    )
+    return found.select(
+        "page", F.from_xml(closed, schema, {"mode": "FAILFAST"}).alias("element")
     )
 
 
 def read_metadata_formats(spark: SparkSession, path: str) -> DataFrame:
     """Offered metadata formats (SRC-05)."""
-    return _xml(spark, path, "metadataFormat", S.METADATA_FORMAT)
+    return _elements(spark, path, "metadataFormat", S.METADATA_FORMAT).select("element.*")
 
 
 def read_identifiers(spark: SparkSession, path: str) -> DataFrame:
     """Record headers of identifier or record pages (SRC-06)."""
-    return _xml(spark, path, "header", S.RECORD_HEADER)
+    return _elements(spark, path, "header", S.RECORD_HEADER).select("element.*")
 
 
 def read_page_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(page, token, completeListSize, cursor) of every page (SRC-08)."""
-    return _xml(spark, path, "resumptionToken", S.PAGE_TOKEN).select(
-        F.col("_metadata.file_path").alias("page"),
-        F.col("_VALUE").alias("token"),
-        F.col("_completeListSize").alias("completeListSize"),
-        F.col("_cursor").alias("cursor"),
+    return _elements(spark, path, "resumptionToken", S.PAGE_TOKEN).select(
+        "page",
+        F.col("element._VALUE").alias("token"),
+        F.col("element._completeListSize").alias("completeListSize"),
+        F.col("element._cursor").alias("cursor"),
     )
 
 
