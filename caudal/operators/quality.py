@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -16,9 +17,21 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def observed_rows(observation: Observation) -> int:
+    """Row count of a finished stage.
+
+    Where the optimizer proves a stage empty it removes the counter with it, so
+    a finished job without a metric means no rows.
+    """
+    try:
+        return observation.get["rows"]
+    except (KeyError, Py4JJavaError):
+        return 0
+
+
 def require_rows(observation: Observation, message: str) -> int:
     """Row count of a finished stage; raises when it was empty."""
-    rows = observation.get["rows"]
+    rows = observed_rows(observation)
     if rows == 0:
         raise NoRows(message)
     return rows

@@ -64,7 +64,7 @@ def write_tables_a(tables: TablesA, path: str) -> dict[str, int]:
     rows = quality.require_rows(seen, "no time series found")
     counted_stations, seen_stations = quality.counted(tables.stations, "stations")
     write_csv(counted_stations, f"{path}/locations.csv")
-    return {"series": rows, "stations": seen_stations.get["rows"]}
+    return {"series": rows, "stations": quality.observed_rows(seen_stations)}
 
 
 def enrich_organisations(station_table: DataFrame, legacy: DataFrame) -> DataFrame:

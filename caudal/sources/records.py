@@ -73,11 +73,11 @@ def parse_record_text(chunks: DataFrame, *keep: str) -> DataFrame:
     head = F.regexp_extract("record", r"(?s)^(.*?)</header>", 1)
 
     def field(name: str):
-        found = F.regexp_extract(head, rf"(?s)<{name}>(.*?)</{name}>", 1)
-        return unescape_entities(F.nullif(F.trim(found), F.lit(""))).alias(name)
+        found = F.regexp_extract(head, rf"(?s)<{name}>\s*(.*?)\s*</{name}>", 1)
+        return unescape_entities(F.nullif(found, F.lit(""))).alias(name)
 
-    metadata = F.regexp_extract("record", r"(?s)<metadata(?:\s[^>]*)?>(.*)</metadata>", 1)
+    metadata = F.regexp_extract("record", r"(?s)<metadata(?:\s[^>]*)?>\s*(.*\S)\s*</metadata>", 1)
     return rows.select(
         *keep, *[field(n) for n in _HEADER_FIELDS],
-        F.nullif(F.trim(metadata), F.lit("")).alias("metadata"),
+        F.nullif(metadata, F.lit("")).alias("metadata"),
     )
