@@ -16,14 +16,14 @@ _NULLABLE = ("interpolationType", "timeSupport", "timeInterval", "timeUnits", "r
 
 def semantic_mapping(rows: DataFrame) -> DataFrame:
     """Fourteen named columns per variable row."""
-    columns = []
-    for i, name in enumerate(SEMANTIC_COLUMNS):
-        cell = F.get("cells", F.lit(i))
+    # All texts of a row in one pass over its cells, instead of one large
+    # expression per column.
+    parsed = semantic_variables(rows).select("cells", F.transform("cells", cell_text).alias("texts"))
+
+    def column(i: int, name: str):
         if name in _LINKS:
-            value = null_text(link_target(cell))
-        else:
-            value = cell_text(cell)
-            if name in _NULLABLE:
-                value = null_text(value)
-        columns.append(value.alias(name))
-    return semantic_variables(rows).select(columns)
+            return null_text(link_target(F.get("cells", F.lit(i))))
+        text = F.get("texts", F.lit(i))
+        return null_text(text) if name in _NULLABLE else text
+
+    return parsed.select([column(i, n).alias(n) for i, n in enumerate(SEMANTIC_COLUMNS)])

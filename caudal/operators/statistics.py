@@ -8,6 +8,8 @@ row per distinct value.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,12 +39,34 @@ def series_statistics(observations: DataFrame) -> DataFrame:
     )
 
 
+def _known(*names: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+
+
+def histogram(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value, rows): how often each value occurs in each group.
+
+    The one bulk shuffle of the statistics; it combines on the map side, and a
+    group of any size is spread by its values.  Rows with a NULL key or value do
+    not take part.  Stating that here for all keys keeps the plan below the
+    shuffle the same for every use, so Spark runs it once.
+    """
+    return (
+        df.select(*keys, F.col(value).cast("double").alias(value))
+        .filter(_known(*keys, value))
+        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float],
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], weight: str | None = None,
     slice_above: int = SLICE_ABOVE, slices: int = SLICES, max_sliced: int = MAX_SLICED_GROUPS,
 ) -> DataFrame:
     """Mean and exact interpolated quantiles per group, without holding a group in memory.
 
+    With ``weight`` the rows are counts of a value, as :func:`histogram` gives
+    them.  Rows with a NULL key or value do not take part.
+
     Spark's own ``percentile`` keeps all distinct values of a group in one
     aggregation buffer.  Here the values are first counted per (group, value),
     which spreads a hot group over all tasks, and the wanted ranks are read off
@@ -59,11 +83,15 @@ def exact_quantiles(
     groups take an exact path.
     """
     v, c = F.col("_v"), F.col("_c")
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    for name in ("_v", *keys):
-        rows = rows.filter(F.col(name).isNotNull())
+    if weight is None:
+        # Every use below reads the same shuffled histogram: one scan of the data.
+        rows = histogram(df, keys, value).select(*keys, F.col(value).alias("_v"), F.col("rows").alias("_w"))
+        counts = rows.withColumnRenamed("_w", "_c")
+    else:
+        rows = df.select(*keys, F.col(value).alias("_v"), F.col(weight).alias("_w"))
+        counts = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
     hot = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows.groupBy(*keys).agg(F.sum("_w").alias("_n"))
         .filter(F.col("_n") > slice_above)
         .orderBy(F.desc("_n")).limit(max_sliced)
     )
@@ -75,8 +103,7 @@ def exact_quantiles(
     )
     slice_of = F.size(F.filter("_cuts", lambda cut: cut < v))
     sliced = (
-        rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-        .join(F.broadcast(cuts), keys, "left")
+        counts.join(F.broadcast(cuts), keys, "left")
         .withColumn("_slice", F.coalesce(F.when(F.col("_cuts").isNotNull(), slice_of), F.lit(-1)))
         .drop("_cuts")
     )
@@ -91,7 +118,7 @@ def exact_quantiles(
     before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slice_totals = (
         rows.join(F.broadcast(cuts), keys)
-        .groupBy(*keys, slice_of.alias("_slice")).agg(F.count(F.lit(1)).alias("_k"), F.sum(v).alias("_s"))
+        .groupBy(*keys, slice_of.alias("_slice")).agg(F.sum("_w").alias("_k"), F.sum(v * F.col("_w")).alias("_s"))
         .select(
             *keys, "_slice",
             F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"),
@@ -152,13 +179,24 @@ def approximate_quantiles(
 MONTHLY_QUANTILES = {"p01": 0.01, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p99": 0.99}
 
 
+def with_month(observations: DataFrame) -> DataFrame:
+    """(series_id, mon, valor) with the 0-based calendar month."""
+    return observations.select("series_id", (F.month("timestart") - 1).alias("mon"), "valor")
+
+
 def monthly_statistics(observations: DataFrame, approximate: bool = False, **limits) -> DataFrame:
     """Per series and 0-based calendar month: mean, p01, p10, p50, p90, p99 (A-09)."""
-    monthly = observations.select(
-        "series_id", (F.month("timestart") - 1).alias("mon"), "valor"
+    keys, monthly = ["series_id", "mon"], with_month(observations)
+    if approximate:
+        return approximate_quantiles(monthly, keys, "valor", MONTHLY_QUANTILES, **limits)
+    return exact_quantiles(monthly, keys, "valor", MONTHLY_QUANTILES, **limits)
+
+
+def _long_percentiles(wide: DataFrame, names: dict[str, float]) -> DataFrame:
+    pairs = F.array(
+        *[F.struct(F.lit(float(p)).alias("percentile"), F.col(n).alias("valor")) for n, p in names.items()]
     )
-    quantiles = approximate_quantiles if approximate else exact_quantiles
-    return quantiles(monthly, ["series_id", "mon"], "valor", MONTHLY_QUANTILES, **limits)
+    return wide.select("series_id", F.inline(pairs))
 
 
 def series_percentiles(
@@ -167,11 +205,19 @@ def series_percentiles(
     """One row per series and wanted percentile: (series_id, percentile, valor) (A-10)."""
     names = {f"q{i}": p for i, p in enumerate(wanted)}
     quantiles = approximate_quantiles if approximate else exact_quantiles
-    wide = quantiles(observations, ["series_id"], "valor", names, **limits)
-    pairs = F.array(
-        *[F.struct(F.lit(float(p)).alias("percentile"), F.col(n).alias("valor")) for n, p in names.items()]
-    )
-    return wide.select("series_id", F.inline(pairs))
+    return _long_percentiles(quantiles(observations, ["series_id"], "valor", names, **limits), names)
+
+
+def monthly_and_series_quantiles(
+    observations: DataFrame, wanted: list[float], **limits
+) -> tuple[DataFrame, DataFrame]:
+    """A-09 and A-10 together: both are read off one monthly histogram, so the
+    observations are scanned and shuffled for it once."""
+    counts = histogram(with_month(observations), ["series_id", "mon"], "valor")
+    monthly = exact_quantiles(counts, ["series_id", "mon"], "valor", MONTHLY_QUANTILES, "rows", **limits)
+    names = {f"q{i}": p for i, p in enumerate(wanted)}
+    overall = exact_quantiles(counts, ["series_id"], "valor", names, "rows", **limits)
+    return monthly, _long_percentiles(overall, names)
 
 
 def nest_monthly(monthly: DataFrame) -> DataFrame:

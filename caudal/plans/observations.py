@@ -17,12 +17,12 @@ def observation_statistics(
     ranges = statistics.date_ranges(observations).select(
         "series_id", F.struct("timestart", "timeend", "count").alias("date_range")
     )
-    monthly = statistics.nest_monthly(
-        statistics.monthly_statistics(observations, approximate, **limits)
-    )
-    overall = statistics.nest_percentiles(
-        statistics.series_percentiles(observations, wanted, approximate, **limits)
-    )
+    if approximate:
+        monthly = statistics.monthly_statistics(observations, True, **limits)
+        overall = statistics.series_percentiles(observations, wanted, True, **limits)
+    else:
+        monthly, overall = statistics.monthly_and_series_quantiles(observations, wanted, **limits)
+    monthly, overall = statistics.nest_monthly(monthly), statistics.nest_percentiles(overall)
     return ranges.join(monthly, "series_id", "left").join(overall, "series_id", "left")
 
 

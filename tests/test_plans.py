@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudal.operators import filters, series, statistics, stations
+from caudal.plans import observation_statistics
 from caudal.workload import views as V
 
 
@@ -36,6 +37,23 @@ def test_ranges_read_their_columns_only(observations):
     assert text.count("Exchange") == 1
 
 
+def final_plan(frame) -> str:
+    frame.collect()
+    text = plan(frame)
+    return text[:text.index("== Initial Plan")] if "== Initial Plan" in text else text
+
+
+def test_quantiles_scan_the_observations_once(observations):
+    text = final_plan(statistics.monthly_statistics(observations))
+    assert text.count("FileScan") == 1
+
+
+def test_job_statistics_share_one_histogram(observations):
+    """One scan for the date ranges, one for all quantiles."""
+    text = final_plan(observation_statistics(observations))
+    assert text.count("FileScan") == 2 and "ReusedExchange" in text
+
+
 def test_constant_codes_are_broadcast_and_nothing_is_crossed(spark, sf):
     flat = series.join_stations_a(series.series_a(V.series_items(spark, sf)), stations.stations_a(V.points(spark, sf)))
     text = plan(series.group_by_variable(flat, V.dictionary(spark, sf), coded=True))
