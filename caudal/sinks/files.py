@@ -31,12 +31,12 @@ def write_csv(
 ) -> None:
     """Header, no index, NULL as empty field (SNK-01).
 
-    ``order_by`` sorts over the part files by range; list enough columns that
-    no single value holds a large share of the rows.
+    ``order_by`` sorts over the part files by range.  A hash of the row breaks
+    ties, so that rows of one frequent value still spread over several files.
     """
     out = _printable(df)
     if order_by:
-        out = out.orderBy(*order_by)
+        out = out.orderBy(*order_by, F.xxhash64(*out.columns))
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "")

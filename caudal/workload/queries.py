@@ -653,8 +653,8 @@ def monthly_stats_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("series_percentiles", with_(PERCENTILES) + """
-SELECT id AS series_id, 0.05 AS percentile, round(p05, 6) AS valor FROM pe
-UNION ALL SELECT id, 0.5, round(p50, 6) FROM pe UNION ALL SELECT id, 0.95, round(p95, 6) FROM pe""")
+SELECT id AS series_id, CAST(0.05 AS DOUBLE) AS percentile, round(p05, 6) AS valor FROM pe
+UNION ALL SELECT id, CAST(0.5 AS DOUBLE), round(p50, 6) FROM pe UNION ALL SELECT id, CAST(0.95 AS DOUBLE), round(p95, 6) FROM pe""")
 def series_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """A-10: requested percentiles per series."""
     rows = statistics.series_percentiles(V.observations(spark, sf), D.DEFAULT_PERCENTILES)

@@ -36,8 +36,8 @@ SERIES = """se AS (
   SELECT k, f, prov AS provider,
     CASE WHEN k % 19 = 0 THEN upper(md5('gone' || k)) ELSE upper(md5(CAST(k AS VARCHAR))) END AS "STATION_ID",
     upper(md5('var' || (f % 10))) AS "EXTERNAL_PARAMETER_ID", f % 10 AS v,
-    CASE f % 6 WHEN 0 THEN 24.0 WHEN 1 THEN 1.0 WHEN 2 THEN 744.0 WHEN 3 THEN 0.25
-      WHEN 4 THEN CASE WHEN k % 2 = 0 THEN 3.0 END END AS h,
+    CAST(CASE f % 6 WHEN 0 THEN 24.0 WHEN 1 THEN 1.0 WHEN 2 THEN 744.0 WHEN 3 THEN 0.25
+      WHEN 4 THEN CASE WHEN k % 2 = 0 THEN 3.0 END END AS DOUBLE) AS h,
     CASE WHEN flag <> 'N' THEN 'mm' END AS "UNIT",
     CASE WHEN k % 23 <> 0 THEN first_ END AS first_, CASE WHEN k % 23 <> 0 THEN last_ END AS last_
   FROM (SELECT l_suppkey AS k, l_returnflag AS flag, l_suppkey + ascii(l_returnflag) AS f,
@@ -97,13 +97,14 @@ SERIES_B = """eb AS (
     CASE WHEN ln IN (4, 6, 7) AND k % 5 <> 0 THEN CAST(k + 2 * ln AS DOUBLE) END AS red
   FROM (
     SELECT l_suppkey AS k, l_linenumber AS ln, min(l_shipdate) AS first_, max(l_shipdate) AS last_, count(*) AS n,
-      CASE WHEN l_linenumber = 1 AND l_suppkey % 10 = 0 THEN 999
+      CAST(CASE WHEN l_linenumber = 1 AND l_suppkey % 10 = 0 THEN 999
         WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber = 2 THEN 31 WHEN l_linenumber = 3 THEN 34
-        WHEN l_linenumber = 4 THEN 39 WHEN l_linenumber = 5 THEN 40 WHEN l_linenumber = 6 THEN 85 ELSE 101 END AS var,
+        WHEN l_linenumber = 4 THEN 39 WHEN l_linenumber = 5 THEN 40 WHEN l_linenumber = 6 THEN 85 ELSE 101 END
+        AS BIGINT) AS var,
       CASE WHEN l_linenumber = 1 AND l_suppkey % 10 = 0 THEN ''
         WHEN l_linenumber <= 3 THEN 'P' WHEN l_linenumber = 5 THEN 'Q' ELSE 'H' END AS q,
-      CASE l_linenumber WHEN 1 THEN 24.0 WHEN 2 THEN 1.0 WHEN 3 THEN 3.0 WHEN 4 THEN 24.5 WHEN 5 THEN 744.0
-        WHEN 7 THEN CASE WHEN l_suppkey % 2 = 0 THEN CAST(604800.5 AS DOUBLE) / 3600 END END AS h
+      CAST(CASE l_linenumber WHEN 1 THEN 24.0 WHEN 2 THEN 1.0 WHEN 3 THEN 3.0 WHEN 4 THEN 24.5 WHEN 5 THEN 744.0
+        WHEN 7 THEN CASE WHEN l_suppkey % 2 = 0 THEN CAST(604800.5 AS DOUBLE) / 3600 END END AS DOUBLE) AS h
     FROM lineitem GROUP BY l_suppkey, l_linenumber))"""
 
 # Monthly statistics of the observations.
