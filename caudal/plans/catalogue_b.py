@@ -8,14 +8,21 @@ from pyspark.sql import DataFrame
 
 from caudal import dictionaries as D
 from caudal.operators import filters, membership, quality, series, stations
-from caudal.sinks import write_csv, write_steps
+from caudal.sinks import stage, write_csv, write_steps
 
 
 @dataclass(frozen=True)
 class TablesB:
-    locations: DataFrame
+    """Lazy output tables: all chosen stations, and the series of those stations."""
+
+    stations: DataFrame
     series: DataFrame
 
+    @property
+    def locations(self) -> DataFrame:
+        """The stations that have a series (J-05)."""
+        return membership.locations_with_series(self.stations, self.series)
+
 
 def make_tables_b(
     station_rows: DataFrame, series_rows: DataFrame, as_of, basins: DataFrame | None = None,
@@ -43,19 +50,24 @@ def make_tables_b(
         wanted, station_table, monthly_stats,
         D.DEFAULT_PERCENTILES if percentiles is None else percentiles,
     )
-    return TablesB(membership.locations_with_series(station_table, table), table)
+    return TablesB(station_table, table)
 
 
 def write_tables_b(
     tables: TablesB, variables: DataFrame | None, path: str, separate: bool = True, combined: bool = True
 ) -> int:
-    """Write locations, the full series table and the tables per step and quantity."""
+    """Write locations, the full series table and the tables per step and quantity.
+
+    The series plan runs once, into a staged table all outputs are read from.
+    """
     counted, seen = quality.counted(tables.series, "series_b")
-    write_csv(counted, f"{path}/series.csv", order_by=["STATION_ID", "EXTERNAL_PARAMETER_ID"])
+    staged = stage(counted, "EXTERNAL_PARAMETER_ID", "series-b")
     rows = quality.require_rows(seen, "no series found")
-    write_csv(tables.locations, f"{path}/INA_locations.csv", order_by=["STATION_ID"])
+    write_csv(staged, f"{path}/series.csv", order_by=["STATION_ID", "EXTERNAL_PARAMETER_ID"])
+    locations = membership.locations_with_series(tables.stations, staged)
+    write_csv(locations, f"{path}/INA_locations.csv", order_by=["STATION_ID"])
     if variables is not None:
         write_csv(variables, f"{path}/variables.csv")
     if separate or combined:
-        write_steps(tables.series, variables, path, separate, combined)
+        write_steps(staged, variables, path, separate, combined)
     return rows

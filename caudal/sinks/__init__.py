@@ -1,9 +1,9 @@
 """Writers of output tables."""
 
 from caudal.sinks.files import (
-    write_by_variable, write_csv, write_json, write_records_xml, write_result, write_steps,
+    stage, write_by_variable, write_csv, write_json, write_records_xml, write_result, write_steps,
 )
 
 __all__ = [
-    "write_by_variable", "write_csv", "write_json", "write_records_xml", "write_result", "write_steps",
+    "stage", "write_by_variable", "write_csv", "write_json", "write_records_xml", "write_result", "write_steps",
 ]

@@ -60,7 +60,7 @@ def write_result(df: DataFrame, path: str, format: str = "csv") -> None:
         raise ValueError(f"unknown result format {format!r}")
 
 
-def _staged(df: DataFrame, column: str, label: str) -> DataFrame:
+def stage(df: DataFrame, column: str, label: str) -> DataFrame:
     """The table written once, partitioned by ``column``, in the shared scratch folder.
 
     Each output table then reads just its own partition instead of running the
@@ -69,7 +69,7 @@ def _staged(df: DataFrame, column: str, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def write_by_variable(
@@ -82,7 +82,7 @@ def write_by_variable(
     ``<path>/variableName=<name>``; the name is dropped from the files.
     """
     fixed = S.SERIES_COLUMNS if fixed is None else fixed
-    staged = _staged(series, "variableName", "by-variable")
+    staged = stage(series, "variableName", "by-variable")
     for name, columns in fixed.items():
         rows = staged.filter(F.col("variableName") == name).drop("variableName")
         write_csv(conform(rows, columns), f"{path}/{name}.csv")
@@ -98,17 +98,18 @@ def write_steps(
     """Catalogue B tables per variable and time step, then per quantity (SNK-03, U-02).
 
     Variables outside the known file names are written as
-    ``<path>/other/name=<nombre>``, named by the variable table.
+    ``<path>/other/name=<nombre>``, named by the variable table.  Every output
+    reads ``series`` again, so hand over a table from :func:`stage` where it is
+    costly.
     """
     order = ["STATION_ID", "EXTERNAL_PARAMETER_ID"]
-    staged = _staged(series, "EXTERNAL_PARAMETER_ID", "steps").select(series.columns)
     variable = F.col("EXTERNAL_PARAMETER_ID")
     if separate:
         for variable_id, name in D.TABLE_BY_VARIABLE.items():
-            rows = conform_b(staged.filter(variable == variable_id), D.CONFORMED_VARIABLES[variable_id])
+            rows = conform_b(series.filter(variable == variable_id), D.CONFORMED_VARIABLES[variable_id])
             write_csv(rows, f"{path}/{name}.csv", order_by=order)
         if variables is not None:
-            rest = staged.filter(~variable.isin(list(D.TABLE_BY_VARIABLE)))
+            rest = series.filter(~variable.isin(list(D.TABLE_BY_VARIABLE)))
             names = variables.select(
                 F.col("id").alias("EXTERNAL_PARAMETER_ID"),
                 F.concat(F.lit("INA_"), F.col("nombre")).alias("name"),
@@ -117,7 +118,7 @@ def write_steps(
             write_csv(named.hint("rebalance", "name"), f"{path}/other", partition_by=["name"])
     if combined:
         for name, (table, ids) in D.COMBINED_TABLES.items():
-            rows = conform_b(staged.filter(variable.isin(ids)), table)
+            rows = conform_b(series.filter(variable.isin(ids)), table)
             write_csv(rows, f"{path}/{name}.csv", order_by=order)
 
 
