@@ -30,20 +30,25 @@ def read_items(
     spark: SparkSession, path: str, page_schema: str, field: str,
     multi_line: bool = True, with_order: bool = False,
 ) -> DataFrame:
-    """One row per element of the page array; a page without the array has no rows."""
+    """One row per element of the page array; a page without the array has no rows.
+
+    Partition folders of the landing path (``provider=...``) become columns, and
+    a filter on them skips whole folders.
+    """
     pages = (
         spark.read.schema(page_schema)
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .json(path)
     )
+    folders = [c for c in pages.columns if c != field]
     if not with_order:
-        return pages.select(F.inline(field))
+        return pages.select(F.inline(field), *folders)
     positioned = pages.select(
-        input_order().alias("_file"), F.posexplode(field).alias("_pos", "_item")
+        input_order().alias("_file"), F.posexplode(field).alias("_pos", "_item"), *folders
     )
     return positioned.select(
-        "_item.*", F.struct("_file.file", "_file.line", F.col("_pos").alias("pos")).alias(ORDER)
+        "_item.*", *folders, F.struct("_file.file", "_file.line", F.col("_pos").alias("pos")).alias(ORDER)
     )
 
 

@@ -32,9 +32,10 @@ def page_stream(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     pages = reader.json(landing)
+    folders = [c for c in pages.columns if c != field]
     rows = pages.select(
-        F.explode(field).alias("_item"), F.col("_metadata.file_modification_time").alias(LANDED)
-    ).select("_item.*", LANDED)
+        F.explode(field).alias("_item"), *folders, F.col("_metadata.file_modification_time").alias(LANDED)
+    ).select("_item.*", *folders, LANDED)
     return _deduplicated(rows, key, horizon)
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from caudal import sources
 from caudal.operators import quality, semantic, series, stations
-from caudal.operators.filters import records_where
+from caudal.operators.filters import points_where, records_where
 
 
 def put(path, name, text):
@@ -38,6 +38,19 @@ def test_point_pages(spark, tmp_path):
     assert (c.ORGANIZATION, c.PARENT_ID) == ("PREFE", "_PREFE_9")
 
 
+def test_provider_folders(spark, tmp_path):
+    put(tmp_path / "provider=p1", "a.json", json.dumps({"results": POINTS[:1]}))
+    put(tmp_path / "provider=p2", "a.json", json.dumps({"results": POINTS[1:]}))
+    points = sources.read_point_pages(spark, str(tmp_path))
+    kept = points_where(points, provider="p2")
+    assert sorted(r.id for r in kept.collect()) == ["B", "C"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(provider" in plan
+    assert points_where(points, country="URY").count() == 1
+    ordered = sources.read_point_pages(spark, str(tmp_path), with_order=True)
+    assert set(ordered.columns) == set(points.columns) | {"input_order"}
+
+
 def test_broken_page_fails(spark, tmp_path):
     put(tmp_path, "p1.json", json.dumps({"results": POINTS}))
     path = put(tmp_path, "p2.json", '{"results": [{"id": ')
