@@ -34,6 +34,13 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def row_key(docs: DataFrame) -> dict[str, Column]:
+    """The key ``d``, ``t`` of :func:`keyed` under names that no column of ``docs`` has."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "t": F.xxhash64(text)}
+    return {free_name(docs.columns, f"row_{k}"): v for k, v in key.items()}
+
+
 def stage(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch_dir(frame.sparkSession, label)

@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.common import keyed, parts, stage, utf8
+from caudal.llm.common import free_name, keyed, parts, row_key, stage, utf8
 
 #: Bits of each Bloom filter.  What is broadcast has this fixed size (16 MB) whatever the input; a
 #: fuller filter only lets more lines through to the exact count.  Raise it with the corpus, to 2**32 at most.
@@ -134,6 +135,21 @@ def repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep
     return hits.groupBy("d", "t").agg(F.collect_set("hit").alias("lines"))
 
 
+def _left_over(text: bytes, hits: list[dict] | None, min_chars: int) -> tuple[bytes, int, int]:
+    """The text without the lines hit, its lines before, and the lines dropped."""
+    n = text.count(b"\n") + 1
+    if not hits:
+        return text, n, 0
+    stays = {x["line"]: x["stays"] for x in hits}
+    left = []
+    for line, digest in zip(text.split(b"\n"), _digests(text, min_chars), strict=True):
+        if digest not in stays or stays[digest]:
+            left.append(line)
+            if digest in stays:
+                stays[digest] = False
+    return b"\n".join(left), n, n - len(left)
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: str = "none") -> DataFrame:
     """``d, t, doc_id, text, n_lines, n_dropped`` with the text left over.
 
@@ -150,22 +166,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: s
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, BATCH_BYTES):
-            texts, n_lines, n_dropped = [], [], []
-            for text, hits in zip(utf8(batch), batch.column("lines").to_pylist(), strict=True):
-                n_lines.append(text.count(b"\n") + 1)
-                if hits:
-                    stays = {x["line"]: x["stays"] for x in hits}
-                    left = []
-                    for line, digest in zip(text.split(b"\n"), _digests(text, min_chars), strict=True):
-                        if digest not in stays or stays[digest]:
-                            left.append(line)
-                            if digest in stays:
-                                stays[digest] = False
-                    n_dropped.append(n_lines[-1] - len(left))
-                    text = b"\n".join(left)
-                else:
-                    n_dropped.append(0)
-                texts.append(text)
+            found = [_left_over(text, hits, min_chars) for text, hits in zip(utf8(batch), batch.column("lines").to_pylist(), strict=True)]
+            texts, n_lines, n_dropped = ([x[i] for x in found] for i in range(3))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("d"), batch.column("t"), batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                 ["d", "t", "doc_id", "text", "n_lines", "n_dropped"],
@@ -177,3 +179,30 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: s
 def digest_columns(kept: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` of :func:`dedup_lines`."""
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def replace_texts(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: str = "none") -> DataFrame:
+    """The documents with the text of :func:`dedup_lines`, and ``n_chars`` (if there is one) counted anew.
+
+    NULL text becomes empty; all other columns and all rows stay.
+    """
+    key = row_key(docs)
+    hits = free_name([*docs.columns, *key], "lines")
+    found = docs.withColumns(key).join(
+        repeated_lines(docs, min_docs, min_chars, keep).select(*[F.col(c).alias(n) for c, n in zip("dt", key, strict=True)], F.col("lines").alias(hits)),
+        list(key), "left",
+    )
+    names, kinds = docs.columns, docs.schema
+    at, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches, BATCH_BYTES):
+            pairs = zip(utf8(batch), batch.column(hits).to_pylist(), strict=True)
+            texts = pa.array([_left_over(text, hit, min_chars)[0] for text, hit in pairs], pa.binary()).cast(pa.string())
+            columns = [batch.column(n) for n in names]
+            columns[at] = texts
+            if length is not None:
+                columns[length] = pa.compute.utf8_length(texts).cast(columns[length].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return found.select(*names, hits).mapInArrow(replace, kinds)

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caudal.llm import containment, lines, packing, simhash, tokens, windows
+from caudal.llm import blocks, containment, language, lines, listjoin, packing, simhash, tokens, topk, windows
 from caudal.llm.common import hex64, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,12 +36,89 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@_query("op1_crf_language")
+def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: language of every document by a chain learned from those that are not held out."""
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    docs = table(spark, sf_dir, "documents")
+    known = docs.where(F.col("lang").isNotNull() & ~F.coalesce(held_out, F.lit(False)))
+    rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    return language.identify(rows, language.fit(known)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query("op2_text_blocks")
+def op2_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: main text of every page."""
+    return blocks.extract(table(spark, sf_dir, "pages"))
+
+
 @_query("op3_power_packing")
 def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: documents packed into power-of-two pieces."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), 1024)
 
 
+_OP4_SQL = r"""
+WITH entry AS (
+  SELECT e.event_id, e.ts, CAST(e.ts AS DATE) AS day,
+    CASE e.event_type WHEN 'signup' THEN 'withdraw' WHEN 'purchase' THEN 'allow' ELSE 'block' END AS action,
+    e.event_type, lower(regexp_extract(p.url, '://([^/:?#]+)', 1)) AS host, regexp_extract(p.url, '://[^/?#]*/([^/?#]+)', 1) AS folder
+  FROM events e JOIN pages p ON p.page_id = e.user_id
+), keyed AS (
+  SELECT event_id, ts, day, action, CASE
+    WHEN event_type IN ('click', 'view', 'signup') AND folder <> '' THEN host || '/' || folder
+    WHEN event_type = 'purchase' THEN host
+    ELSE regexp_replace(host, '^(www|m|blog)\.', '') END AS key
+  FROM entry
+), capture AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + INTERVAL 1 MINUTE * CAST(page_id * 37 % 43200 AS INTEGER) AS fetched_at,
+    lower(regexp_extract(url, '://([^/:?#]+)', 1)) AS host, regexp_extract(url, '://[^/?#]*/([^/?#]+)', 1) AS folder
+  FROM pages
+), site AS (SELECT DISTINCT host, folder, CAST(fetched_at AS DATE) AS day FROM capture),
+part AS (SELECT host, folder, day, string_split(host, '.') AS labels FROM site),
+asked AS (
+  SELECT host, folder, day, unnest([array_to_string(labels[i:], '.') FOR i IN range(1, len(labels) + 1)]) AS key FROM part
+  UNION ALL SELECT host, folder, day, host || '/' || folder FROM part WHERE folder <> ''
+), daily AS (
+  SELECT key, day, arg_max(action, (ts, event_id)) AS action FROM keyed GROUP BY key, day
+), dated AS (
+  SELECT a.host, a.folder, a.day, a.key, arg_max(k.action, k.day) AS action, max(k.day) AS since
+  FROM asked a JOIN daily k ON k.key = a.key AND k.day <= a.day GROUP BY a.host, a.folder, a.day, a.key
+), verdict AS (
+  SELECT host, folder, day, arg_max(action, (length(key), key)) AS action, arg_max(key, (length(key), key)) AS list_key,
+    arg_max(since, (length(key), key)) AS list_since
+  FROM dated WHERE action <> 'withdraw' GROUP BY host, folder, day
+)
+SELECT c.page_id, c.url, CAST(c.fetched_at AS DATE) AS fetched, coalesce(v.action = 'block', false) AS blocked, v.list_key, v.list_since
+FROM capture c LEFT JOIN verdict v ON v.host = c.host AND v.folder = c.folder AND v.day = CAST(c.fetched_at AS DATE)
+"""
+
+
+@_query("op4_temporal_lists", _OP4_SQL)
+def op4_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: every page's capture against the list entries active when it was fetched.
+
+    The tables hold no list: each event about a page (``user_id`` names it) is a dated entry for the page's site,
+    and a page was fetched at a minute of the same month that follows from its number.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    kind, host = F.col("event_type"), listjoin.host(F.col("url"))
+    key = (
+        F.when(kind.isin("click", "view", "signup") & (listjoin.folder(F.col("url")) != ""), F.concat_ws("/", host, listjoin.folder(F.col("url"))))
+        .when(kind == "purchase", host)
+        .otherwise(F.regexp_replace(host, r"^(www|m|blog)\.", ""))
+    )
+    action = F.when(kind == "signup", "withdraw").when(kind == "purchase", "allow").otherwise("block")
+    entries = events.join(pages, F.col("user_id") == F.col("page_id")).select(
+        key.alias("key"), action.alias("action"), F.to_date("ts").alias("day"), F.struct("ts", "event_id").alias("nth")
+    )
+    minute = F.make_dt_interval(mins=(F.col("page_id") * 37 % 43200).cast("int"))
+    captures = pages.withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp") + minute)
+    judged = listjoin.judge(captures, entries)
+    return judged.select("page_id", "url", F.to_date("fetched_at").alias("fetched"), "blocked", "list_key", "list_since")
+
+
 @_query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 5: token counts of whole texts."""
@@ -60,6 +138,27 @@ def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64(found["fingerprint"]).alias("fingerprint"), "component_id")
 
 
+_OP8_SQL = r"""
+WITH vec AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vec q JOIN vec c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@_query("op8_threshold_topk", _OP8_SQL)
+def op8_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: the ten highest inner products of every hundredth vector."""
+    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+
+
 _OP9_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.common import keyed, parts, stage, utf8
+from caudal.llm.common import free_name, keyed, parts, row_key, stage, utf8
 from caudal.llm.components import components
 
 SEED = 42
@@ -173,3 +173,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
 def representatives(found: DataFrame) -> DataFrame:
     """``d, t``: the one document of each component that stays, the smallest id (then text hash)."""
     return found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "d", "t")).alias("one")).select("one.d", "one.t")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The documents, all columns as they are, with one row of each component (see :func:`near_duplicates`).
+
+    The one of smallest id (NULL last), then text hash, stays; of rows equal in both, the first by the other columns.
+    """
+    key = row_key(docs)
+    one = representatives(near_duplicates(docs, shingle, radius)).select(*[F.col(c).alias(n) for c, n in zip("dt", key, strict=True)])
+    nth = free_name([*docs.columns, *key], "nth")
+    order = [F.col(f.name) for f in docs.schema.fields if f.dataType.typeName() != "map"]
+    same = Window.partitionBy(*key).orderBy(*order)
+    return docs.withColumns(key).join(one, list(key)).withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).select(*docs.columns)
