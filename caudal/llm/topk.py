@@ -17,6 +17,8 @@ QUERY_BLOCK = 2048
 ROW_BLOCK = 8192
 #: Score lists: the vector's components are dealt into so many slices.
 LISTS = 2
+#: Rows that a list of a cell names in the first phase, times k.
+HEAD = 6
 _NONE = -(2**62)
 
 
@@ -40,7 +42,7 @@ def _matrix(table: pa.Table) -> np.ndarray:
 
 
 def _partials(queries: pa.Table, rows: pa.Table, lists: int):
-    """(ids of some queries, list, their partial scores against all rows); the query's own row is marked."""
+    """(first of some queries, their partial scores against all rows by list, and which row is the query itself)."""
     q, r = _matrix(queries), _matrix(rows)
     q_ids, r_ids = queries["query_id"].to_numpy(), rows["vec_id"].to_numpy()
     # Products of doubles are exact while sums stay below 2**53; beyond, integers are used.
@@ -49,55 +51,62 @@ def _partials(queries: pa.Table, rows: pa.Table, lists: int):
     cuts = [q.shape[1] * j // lists for j in range(lists + 1)]
     for i in range(0, len(q), 256):
         own = q_ids[i : i + 256, None] == r_ids[None, :]
-        for j in range(lists):
-            at = slice(cuts[j], cuts[j + 1])
-            score = (q[i : i + 256, at].astype(kind) @ r[:, at].astype(kind).T).astype(np.int64)
-            yield i, j, score, own
+        yield i, [(q[i : i + 256, at].astype(kind) @ r[:, at].astype(kind).T).astype(np.int64) for at in map(slice, cuts, cuts[1:])], own
 
 
 def _gather(k: int, lists: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Phase 1 on a cell: the k highest partial scores of each query and list, and the lowest (row NULL)."""
+    """Phase 1 on a cell: each list names its highest rows; the k best totals of those, and each list's lowest score."""
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out = []
         q_ids, r_ids = queries["query_id"].to_numpy(), rows["vec_id"].to_numpy()
         if len(q_ids) and len(r_ids):
-            for i, j, score, own in _partials(queries, rows, lists):
-                low = np.where(own, 2**62, score).min(axis=1)
-                score = np.where(own, _NONE, score)
-                n = min(k, len(r_ids))
-                top = np.argpartition(-score, n - 1, axis=1)[:, :n]
-                value = np.take_along_axis(score, top, axis=1)
-                ids = q_ids[i : i + len(score)]
-                real = value.ravel() > _NONE
-                some = low < 2**62
-                out.append((np.repeat(ids, n)[real], r_ids[top.ravel()][real], np.full(real.sum(), j), value.ravel()[real], np.zeros(real.sum(), dtype=bool)))
-                out.append((ids[some], np.zeros(some.sum(), dtype=np.int64), np.full(some.sum(), j), low[some], np.ones(some.sum(), dtype=bool)))
-        return _table(out, ["query_id", "vec_id", "list", "score", "lowest"])
+            for i, partials, own in _partials(queries, rows, lists):
+                ids, n = q_ids[i : i + len(own)], min(HEAD * k, len(r_ids))
+                named = np.concatenate([np.argpartition(-np.where(own, _NONE, p), n - 1, axis=1)[:, :n] for p in partials], axis=1)
+                named.sort(axis=1)
+                again = np.zeros(named.shape, dtype=bool)
+                again[:, 1:] = named[:, 1:] == named[:, :-1]
+                total = sum(np.take_along_axis(p, named, axis=1) for p in partials)
+                total = np.where(again | np.take_along_axis(own, named, axis=1), _NONE, total)
+                best = np.sort(total, axis=1)[:, -k:]
+                a, b = np.nonzero(best > _NONE)
+                out.append((ids[a], np.full(len(a), -1), best[a, b]))
+                for j, p in enumerate(partials):
+                    low = np.where(own, -_NONE, p).min(axis=1)
+                    some = low < -_NONE
+                    out.append((ids[some], np.full(some.sum(), j), low[some]))
+        return _table(out, ["query_id", "list", "score"])
 
     return run
 
 
 def _collect(lists: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Phase 2 on a cell: all entries at or above the query's cutoff of the list."""
+    """Phases 2 and 3 on a cell: rows at or above a list's cutoff, scored exactly; those that reach the total stay."""
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out = []
         q_ids, r_ids = queries["query_id"].to_numpy(), rows["vec_id"].to_numpy()
         if len(q_ids) and len(r_ids):
-            cutoff = np.array(queries["cutoffs"].combine_chunks().flatten().to_numpy()).reshape(-1, lists)
-            for i, j, score, own in _partials(queries, rows, lists):
-                a, b = np.nonzero((score >= cutoff[i : i + len(score), j, None]) & ~own)
-                out.append((q_ids[i + a], r_ids[b], np.full(len(a), j), score[a, b]))
-        return _table(out, ["query_id", "vec_id", "list", "score"])
+            cutoff = queries["cutoffs"].combine_chunks().flatten().to_numpy().reshape(-1, lists)
+            least = queries["least"].to_numpy()
+            for i, partials, own in _partials(queries, rows, lists):
+                n = slice(i, i + len(own))
+                enough = np.zeros(own.shape, dtype=bool)
+                for j, p in enumerate(partials):
+                    enough |= p >= cutoff[n, j, None]
+                a, b = np.nonzero(enough & ~own)
+                total = sum(p[a, b] for p in partials)
+                kept = total >= least[n][a]
+                out.append((q_ids[n][a[kept]], r_ids[b[kept]], total[kept]))
+        return _table(out, ["query_id", "vec_id", "score"])
 
     return run
 
 
 def _table(out: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.Table:
-    kinds = {"list": pa.int32(), "lowest": pa.bool_()}
     columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0) for _ in names]
-    return pa.table({n: pa.array(c, kinds.get(n, pa.int64())) if len(c) else pa.array([], kinds.get(n, pa.int64())) for n, c in zip(names, columns, strict=True)})
+    return pa.table({n: pa.array(c.astype(np.int64)) for n, c in zip(names, columns, strict=True)})
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LISTS) -> DataFrame:
@@ -105,11 +114,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
 
     Both frames have ``vec_id, v`` as :func:`scaled` gives them; a query's own id is no candidate.  A score is the sum of
     one partial score per list (slice of the components).
-    1. Each list gives its k highest entries and its lowest.  Sums over the lists, the lowest for what is missing,
-       give k rows that reach some total; less the lowest scores, no row in the result can stay below that.
-    2. That total, shared evenly over the lists, is the cutoff: a row below it in every list is out.
-       All entries at or above come in, and bound every row's score from both sides.
-    3. Rows whose upper bound reaches the k-th lower bound are looked up and scored exactly.
+    1. Each list of a cell names its highest rows; the cell sends the k best totals of these and each list's lowest score.
+       The k-th best total of all cells is safe: k rows reach it.
+    2. That total, counted from the lowest scores and shared evenly over the lists, is the cutoff: a row below it in every
+       list stays below the total.  Cutoffs go back to all cells, which collect the rows at or above.
+    3. What is missing of a collected row's score is added exactly where the row lies; rows that reach the total are ranked.
     Queries meet rows in a grid of blocks, dealt by hash; cutoffs travel with the queries.  Of equal vectors only the
     k + 1 smallest ids can be in a result (a query may be one itself), so the others leave before.
     """
@@ -131,43 +140,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
         right = each(rows, "vec_id", "rb", n_r, "qb", n_q).groupBy("qb", "rb")
         return left.cogroup(right).applyInArrow(function, schema)
 
-    entry = "query_id long, vec_id long, list int, score long"
-    local = stage(meet(asked, _gather(k, lists), entry + ", lowest boolean"), "score-lists")
-    lowest = local.where("lowest").groupBy("query_id", "list").agg(F.min("score").alias("low"))
-    best = Window.partitionBy("query_id", "list").orderBy(F.desc("score"), "vec_id")
-    heads = local.where("NOT lowest").withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k)
-    sums = heads.join(lowest, ["query_id", "list"]).groupBy("query_id", "vec_id").agg(F.sum(F.col("score") - F.col("low")).alias("above"))
-    by_sum = Window.partitionBy("query_id").orderBy(F.desc("above"), "vec_id")
-    kth = sums.withColumn("nth", F.row_number().over(by_sum)).where(F.col("nth") == k).select("query_id", "above")
+    local = stage(meet(asked, _gather(k, lists), "query_id long, list long, score long"), "score-lists")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    totals = local.where("list < 0").withColumn("nth", F.row_number().over(best)).where(F.col("nth") == k)
+    lowest = local.where("list >= 0").groupBy("query_id", "list").agg(F.min("score").alias("low"))
+    lows = lowest.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("list", "low"))).alias("by_list"), F.sum("low").alias("base"))
+    # Fewer than k rows in all: every row is in.
     cutoffs = (
-        lowest.join(kth, "query_id", "left")
-        .withColumn("cutoff", F.expr(f"low + (coalesce(above, 0L) + {lists - 1}) div {lists}"))
-        .groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(F.struct("list", "cutoff", "low"))).alias("by_list"))
-        .select("query_id", F.col("by_list.cutoff").alias("cutoffs"), F.col("by_list.low").alias("lows"))
+        lows.join(totals.select("query_id", "score"), "query_id", "left")
+        .withColumn("least", F.coalesce("score", "base"))
+        .withColumn("share", F.expr(f"(least - base + {lists - 1}) div {lists}"))
+        .select("query_id", "least", F.transform("by_list.low", lambda low: low + F.col("share")).alias("cutoffs"))
     )
-    entries = stage(meet(asked.join(cutoffs, "query_id"), _collect(lists), entry), "entries")
-    known = F.sum("score")
-    held = F.collect_set("list")
-    bounded = entries.groupBy("query_id", "vec_id").agg(known.alias("known"), held.alias("held")).join(cutoffs, "query_id")
-    missing = F.filter(F.sequence(F.lit(0), F.lit(lists - 1)), lambda j: ~F.array_contains("held", j))
-
-    def rest(name: str) -> F.Column:
-        return F.aggregate(missing, F.lit(0).cast("long"), lambda s, j: s + F.col(name)[j])
-
-    bounded = bounded.select(
-        "query_id", "vec_id", "known", (F.col("known") + rest("lows")).alias("least"),
-        (F.col("known") + rest("cutoffs") - F.size(missing)).alias("most"), F.size(missing).alias("open"),
-    )
-    sure = Window.partitionBy("query_id").orderBy(F.desc("least"), "vec_id")
-    floor = bounded.withColumn("nth", F.row_number().over(sure)).where(F.col("nth") == k).select("query_id", F.col("least").alias("floor"))
-    left = bounded.join(floor, "query_id", "left").where(F.col("floor").isNull() | (F.col("most") >= F.col("floor")))
-    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
-    resolved = (
-        left.where("open > 0").select("query_id", "vec_id")
-        .join(rows, "vec_id").join(asked.withColumnRenamed("v", "q"), "query_id")
-        .select("query_id", "vec_id", product.alias("score"))
-    )
-    scores = left.where("open = 0").select("query_id", "vec_id", F.col("known").alias("score")).union(resolved)
+    scores = meet(asked.join(cutoffs, "query_id"), _collect(lists), "query_id long, vec_id long, score long")
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scores.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
