@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,18 +16,20 @@ from caudal.llm.common import parts
 #: Bytes of text encoded at once: batches are cut by bytes, not by rows.
 BATCH_BYTES = 4 << 20
 #: Distinct pieces whose encoding a Python worker keeps.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 
-# A cut before a space or line break that follows another character is safe: no token of the
-# byte-level pattern reaches over it.  Other white space is only cut after a visible ASCII character.
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# A cut before a space or line break that follows another character is safe: no token of the byte-level
+# pattern reaches over it; nor does one from a letter or digit to a stop or comma.  Texts with other white space
+# are only cut after a visible ASCII character.
+_PIECE = re.compile(r"[ \n]*[^\W_]++(?=[.,])|[ \n]*[^ \n]+|[ \n]+")
+_OTHER_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 _SAFE_CUT = re.compile(r"(?<=[!-~])(?=[ \n])")
 
 
 def safe_pieces(text: str) -> list[str]:
     """The text cut where tokens always end; the pieces joined give the text again."""
-    if _OTHER_SPACE.search(text):
+    if any(c in text for c in _OTHER_ASCII) if text.isascii() else _OTHER_SPACE.search(text):
         return [x for x in _SAFE_CUT.split(text) if x]
     return _PIECE.findall(text)
 
@@ -50,10 +53,11 @@ class PieceCache(dict):
             self.encode = lambda texts: [keep(x.ids) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, lists: list[list[str]]) -> None:
-        unknown = list({x for pieces in lists for x in pieces if x not in self})
+        pieces = set(chain.from_iterable(lists))
+        unknown = list(pieces.difference(self))
         if len(self) + len(unknown) > KEPT_PIECES:
             self.clear()
-            unknown = list({x for pieces in lists for x in pieces})
+            unknown = list(pieces)
         for i in range(0, len(unknown), 20_000):
             some = unknown[i : i + 20_000]
             self.update(zip(some, self.encode(some), strict=True))
