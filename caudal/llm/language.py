@@ -21,7 +21,7 @@ SAMPLE_CHARS = 20_000
 MOST_LANGUAGES = 64
 FEATURE_BITS = 17
 UNKNOWN = "und"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def _kinds() -> np.ndarray:
