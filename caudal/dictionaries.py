@@ -153,9 +153,6 @@ DEFAULT_STATION_FILTER = {
 # Harvest defaults (fixed values).
 ACTIVITY_DAYS = 180
 MAX_POINTS = 6000
-MAX_SERIES = 48000
-PAGE_SIZE = 1000
-MAX_RECORD_PAGES = 500
 
 # Constant texts of the output tables (fixed values).
 SOURCE_A = "WHOS"

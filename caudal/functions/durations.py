@@ -46,7 +46,9 @@ def _let(value: Column, body) -> Column:
 def _hours(sign: Column, years: Column, months: Column, seconds: Column) -> Column:
     """Years and months are resolved as calendar time from 1970-01-01, the rest is exact."""
     epoch = F.lit("1970-01-01").cast("date")
-    later = F.add_months(epoch, (sign * (years * 12 + months)).cast("int"))
+    # Beyond ten thousand years there is no calendar; such text gives NULL.
+    count = F.when(years * 12 + months < 120_000, sign * (years * 12 + months)).cast("int")
+    later = F.add_months(epoch, count)
     calendar = F.when(years + months > 0, F.datediff(later, epoch) * 86400.0).otherwise(0.0)
     return (calendar + sign * seconds) / 3600.0
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def unescape_tags(text: Column) -> Column:
@@ -31,7 +31,7 @@ def unescape_entities(text: Column) -> Column:
     """Decode named and numeric character references.
 
     The text is cut before each ``&``; only a piece that starts with a complete
-    reference changes, so a bare ampersand survives.
+    reference changes, so a bare ampersand survives.  A number that is no character becomes U+FFFD.
     """
     # One literal parsed by the JVM; 250 pairs of Column literals would each cost
     # a call from Python.
@@ -41,14 +41,19 @@ def unescape_entities(text: Column) -> Column:
     )
 
     def decode_point(digits: Column, base: int) -> Column:
-        point = F.conv(digits, base, 16)
-        return F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32")
+        # Leading zeros say nothing; what is left after seven digits is no code point.
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        point = F.when(F.length(short) <= 7, F.conv(short, base, 10).cast("int"))
+        real = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        return F.when(real, F.decode(F.unhex(F.lpad(F.hex(F.when(real, point).otherwise(32)), 8, "0")), "UTF-32")).otherwise(
+            F.when(point.isNull() | ~real, F.lit("\ufffd"))
+        )
 
     def piece(x: Column, i: Column) -> Column:
         ref = F.regexp_extract(x, _ENTITY, 1)
         char = (
-            F.when(ref.rlike("^#[xX]"), decode_point(F.substring(ref, 3, 6), 16))
-            .when(ref.startswith("#"), decode_point(F.substring(ref, 2, 7), 10))
+            F.when(ref.rlike("^#[xX]"), decode_point(F.substr(ref, F.lit(3)), 16))
+            .when(ref.startswith("#"), decode_point(F.substr(ref, F.lit(2)), 10))
             .when(ref == "apos", F.lit("'"))
             .otherwise(F.try_element_at(named, ref))
         )

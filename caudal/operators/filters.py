@@ -127,18 +127,30 @@ def date_range_after(
 
 
 def observations_between(
-    observations: DataFrame, timestart: datetime | str, timeend: datetime | str, series_id=None
+    observations: DataFrame, timestart: datetime | str | None, timeend: datetime | str | None, series_id=None
 ) -> DataFrame:
-    """Observations of a half-open time range, optionally of some series (F-05).
+    """Observations of a half-open time range (either end may be open), optionally of some series (F-05).
 
-    A plain comparison of the stored column with a constant of its own type: it
-    is pushed into the scan and prunes date partitions.
+    A plain comparison of the stored column with a constant of its own type: it is pushed into the scan.
+    A ``day`` column (date folders of ``timestart`` in UTC) is compared too, which prunes folders; a day more on
+    either side allows for folders of another zone.  Times stored as text are compared as instants.
     """
     stored = observations.schema["timestart"].dataType
-    result = observations.filter(
-        (F.col("timestart") >= F.lit(timestart).cast(stored))
-        & (F.col("timestart") < F.lit(timeend).cast(stored))
-    )
+    is_text = stored.typeName() == "string"
+    start = instant(F.col("timestart")) if is_text else F.col("timestart")
+    kind = "timestamp" if is_text else stored
+    dated = "day" in observations.columns and observations.schema["day"].dataType.typeName() == "date"
+    result = observations
+    if timestart is not None:
+        begin = F.lit(timestart).cast(kind)
+        result = result.filter(start >= begin)
+        if dated:
+            result = result.filter(F.col("day") >= F.date_sub(F.to_date(begin), 1))
+    if timeend is not None:
+        end = F.lit(timeend).cast(kind)
+        result = result.filter(start < end)
+        if dated:
+            result = result.filter(F.col("day") <= F.date_add(F.to_date(end), 1))
     ids = _as_list(series_id)
     return result.filter(F.col("series_id").isin(ids)) if ids else result
 
@@ -180,7 +192,8 @@ def where_attributes(df: DataFrame, allowed: list[str], **attributes) -> DataFra
             continue
         column = _attribute(df, name)
         values = _as_list(value)
-        result = result.filter(column == values[0] if len(values) == 1 else column.isin(values))
+        if values:  # an empty list does not restrict
+            result = result.filter(column == values[0] if len(values) == 1 else column.isin(values))
     return result
 
 

@@ -41,14 +41,15 @@ def completeness(records: DataFrame, tokens: DataFrame) -> DataFrame:
     """(harvest, records, expected, last_cursor, complete) per landing folder (A-12).
 
     ``expected`` is the list size the service announced; a harvest is complete
-    when its last cursor reached it, or when no page announced a continuation.
+    when its last cursor reached it and as many different records are there, or when no page announced a
+    continuation.
     """
     harvest = F.regexp_extract("page", r"^(.*)/[^/]*$", 1).alias("harvest")
-    found = records.groupBy(harvest).agg(F.count(F.lit(1)).alias("records"))
+    found = records.groupBy(harvest).agg(F.count_distinct("identifier").alias("records"))
     announced = tokens.groupBy(harvest).agg(
         F.max("completeListSize").alias("expected"), F.max("cursor").alias("last_cursor")
     )
-    done = F.col("last_cursor") >= F.col("expected")
+    done = (F.col("last_cursor") >= F.col("expected")) & (F.coalesce("records", F.lit(0)) >= F.col("expected"))
     return found.join(announced, "harvest", "full_outer").select(
         "harvest",
         F.coalesce("records", F.lit(0).cast("long")).alias("records"),

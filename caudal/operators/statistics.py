@@ -13,10 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with more rows than this is ranked in slices.
-SLICE_ABOVE = 1_000_000
-SLICES = 64
-MAX_SLICED_GROUPS = 10_000
+# Every group is cut into so many value slices; only those with a wanted rank are ranked.
+SLICES = 32
 
 
 def date_ranges(observations: DataFrame) -> DataFrame:
@@ -60,7 +58,7 @@ def histogram(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], weight: str | None = None,
-    slice_above: int = SLICE_ABOVE, slices: int = SLICES, max_sliced: int = MAX_SLICED_GROUPS,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Mean and exact interpolated quantiles per group, without holding a group in memory.
 
@@ -69,69 +67,38 @@ def exact_quantiles(
 
     Spark's own ``percentile`` keeps all distinct values of a group in one
     aggregation buffer.  Here the values are first counted per (group, value),
-    which spreads a hot group over all tasks, and the wanted ranks are read off
-    a running count.  A group with very many rows is cut into value slices that
-    are ranked in parallel and put together through the slice totals.
-
-    Only the histogram moves data in bulk.  Finding the hot groups, their cut
-    points and their slice totals are aggregates that combine on the map side
-    to a few rows per task, and without a hot group the last two do not run.
-
-    At most ``max_sliced`` groups are sliced, the largest ones.  That bounds
-    the broadcast tables by ``max_sliced * slices`` rows, and any group left
-    whole is then smaller than one part in ``max_sliced`` of the data.  All
-    groups take an exact path.
+    which spreads a hot group over all tasks.  Every group, whatever its size, is
+    cut into value slices; the slice totals give the mean and tell which slices
+    hold a wanted rank, and only those are ranked by a running count.
     """
     v, c = F.col("_v"), F.col("_c")
     if weight is None:
         # Every use below reads the same shuffled histogram: one scan of the data.
-        rows = histogram(df, keys, value).select(*keys, F.col(value).alias("_v"), F.col("rows").alias("_w"))
-        counts = rows.withColumnRenamed("_w", "_c")
+        counts = histogram(df, keys, value).select(*keys, F.col(value).alias("_v"), F.col("rows").alias("_c"))
     else:
         rows = df.select(*keys, F.col(value).alias("_v"), F.col(weight).alias("_w"))
         counts = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
-    hot = (
-        rows.groupBy(*keys).agg(F.sum("_w").alias("_n"))
-        .filter(F.col("_n") > slice_above)
-        .orderBy(F.desc("_n")).limit(max_sliced)
-    )
     # Cut points only balance the slices; an approximation is enough for that.
-    cuts = (
-        rows.join(F.broadcast(hot.select(keys)), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000).alias("_cuts"))
-    )
-    slice_of = F.size(F.filter("_cuts", lambda cut: cut < v))
-    sliced = (
-        counts.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_slice", F.coalesce(F.when(F.col("_cuts").isNotNull(), slice_of), F.lit(-1)))
-        .drop("_cuts")
-    )
-
-    whole = Window.partitionBy(*keys, "_slice")
-    running = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sliced.withColumns(
-        {"_upto": F.sum(c).over(running), "_rows": F.sum(c).over(whole), "_sum": F.sum(v * c).over(whole)}
+    cuts = counts.groupBy(*keys).agg(
+        F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000).alias("_cuts"),
+        F.sum("_c").alias("_size"),
     )
+    # Every group has cuts.  The outer join and the use of the counts leave the histogram the same
+    # for both of its readers, so that they share its shuffle.
+    slice_of = F.when(F.col("_size") > 0, F.size(F.filter("_cuts", lambda cut: cut < v))).otherwise(0)
+    sliced = counts.join(cuts, keys, "left").withColumn("_slice", slice_of).drop("_cuts", "_size")
 
     group = Window.partitionBy(*keys)
     before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slice_totals = (
-        rows.join(F.broadcast(cuts), keys)
-        .groupBy(*keys, slice_of.alias("_slice")).agg(F.sum("_w").alias("_k"), F.sum(v * F.col("_w")).alias("_s"))
+    totals = (
+        sliced.groupBy(*keys, "_slice").agg(F.sum("_c").alias("_k"), F.sum(v * c).alias("_s"))
         .select(
-            *keys, "_slice",
+            *keys, "_slice", "_k",
             F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"),
-            F.sum("_k").over(group).alias("_all"),
-            F.sum("_s").over(group).alias("_total"),
+            F.sum("_k").over(group).alias("_n"),
+            F.sum("_s").over(group).alias("_sum"),
         )
     )
-    placed = ranked.join(F.broadcast(slice_totals), [*keys, "_slice"], "left").select(
-        *keys, "_v", "_c",
-        (F.col("_upto") + F.coalesce("_base", F.lit(0))).alias("_upto"),
-        F.coalesce("_all", "_rows").alias("_n"),
-        F.coalesce("_total", "_sum").alias("_sum"),
-    )
 
     def position(p: float) -> Column:
         return (F.col("_n") - 1) * F.lit(float(p))
@@ -139,6 +106,14 @@ def exact_quantiles(
     def holds(rank: Column) -> Column:
         return (rank >= F.col("_upto") - c) & (rank < F.col("_upto"))
 
+    def in_slice(rank: Column) -> Column:
+        return (rank >= F.col("_base")) & (rank < F.col("_base") + F.col("_k"))
+
+    ranks = [f(position(p)) for p in probabilities.values() for f in (F.floor, F.ceil)]
+    wanted = totals.filter(reduce(lambda a, b: a | b, map(in_slice, ranks)))
+    running = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = sliced.join(wanted, [*keys, "_slice"]).withColumn("_upto", F.col("_base") + F.sum(c).over(running))
+
     aggregates = [F.max("_n").alias("_n"), F.max("_sum").alias("_sum")]
     needed = F.lit(False)
     for i, p in enumerate(probabilities.values()):
@@ -180,8 +155,12 @@ MONTHLY_QUANTILES = {"p01": 0.01, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p99":
 
 
 def with_month(observations: DataFrame) -> DataFrame:
-    """(series_id, mon, valor) with the 0-based calendar month."""
-    return observations.select("series_id", (F.month("timestart") - 1).alias("mon"), "valor")
+    """(series_id, mon, valor) with the 0-based calendar month in UTC, whatever the session's zone."""
+    if observations.schema["timestart"].dataType.typeName() == "timestamp":
+        day = F.date_from_unix_date(F.floor(F.unix_micros("timestart") / 86_400_000_000).cast("int"))
+    else:
+        day = F.to_date("timestart")
+    return observations.select("series_id", (F.month(day) - 1).alias("mon"), "valor")
 
 
 def monthly_statistics(observations: DataFrame, approximate: bool = False, **limits) -> DataFrame:

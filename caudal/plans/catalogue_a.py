@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from caudal import dictionaries as D
 from caudal.operators import filters, membership, quality, series, stations
-from caudal.sinks import write_by_variable, write_csv
+from caudal.sinks import write_by_variable, write_csv, write_scratch
 
 
 @dataclass(frozen=True)
 class TablesA:
-    """Lazy output tables; ``flat`` is the ungrouped series table before the id swap."""
+    """Lazy output tables; ``flat`` is the ungrouped series table before the id swap.
+
+    ``from_flat`` gives the stations and series of a flat table, so that a writer can stage it once.
+    """
 
-    stations: DataFrame
-    series: DataFrame
     flat: DataFrame
+    from_flat: Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+    @property
+    def stations(self) -> DataFrame:
+        return self.from_flat(self.flat)[0]
+
+    @property
+    def series(self) -> DataFrame:
+        return self.from_flat(self.flat)[1]
 
 
 def make_tables_a(
@@ -47,24 +58,36 @@ def make_tables_a(
     if has_timestep:
         flat = filters.with_timestep(flat)
 
-    kept = membership.stations_with_series(station_table, flat)
-    grouped = series.group_by_variable(
-        stations.original_station_id(flat), dictionary, coded=True, codes=codes
-    )
-    return TablesA(stations.original_station_id(kept), grouped, flat)
+    def from_flat(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        kept = membership.stations_with_series(station_table, rows)
+        grouped = series.group_by_variable(
+            stations.original_station_id(rows), dictionary, coded=True, codes=codes
+        )
+        return stations.original_station_id(kept), grouped
 
+    return TablesA(flat, from_flat)
 
-def write_tables_a(tables: TablesA, path: str) -> dict[str, int]:
+
+def write_tables_a(tables: TablesA, path: str, flat: bool = False) -> dict[str, int]:
     """Write ``locations.csv`` and one table per variable; row counts come with the write.
 
-    Raises when no series is left, as an empty catalogue is never what was asked for.
+    The flat table is computed once, into the scratch folder.  Raises before any table is written when
+    no series is left, as an empty catalogue is never what was asked for: tables of an earlier run stay.
+    ``flat`` writes it as ``timeseries.csv`` too.
     """
-    counted_series, seen = quality.counted(tables.series, "series")
-    write_by_variable(counted_series, path)
-    rows = quality.require_rows(seen, "no time series found")
-    counted_stations, seen_stations = quality.counted(tables.stations, "stations")
+    counted_flat, seen_flat = quality.counted(tables.flat, "flat")
+    staged = write_scratch(counted_flat, "flat")
+    flat_rows = quality.require_rows(seen_flat, "no time series found")
+    station_rows, series_rows = tables.from_flat(staged)
+    counted_stations, seen_stations = quality.counted(station_rows, "stations")
     write_csv(counted_stations, f"{path}/locations.csv")
-    return {"series": rows, "stations": quality.observed_rows(seen_stations)}
+    if flat:
+        write_csv(staged, f"{path}/timeseries.csv")
+    counted_series, seen = quality.counted(series_rows, "series")
+    write_by_variable(counted_series, path)
+    return {
+        "flat": flat_rows, "series": quality.observed_rows(seen), "stations": quality.observed_rows(seen_stations),
+    }
 
 
 def enrich_organisations(station_table: DataFrame, legacy: DataFrame) -> DataFrame:

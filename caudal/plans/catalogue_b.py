@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from caudal import dictionaries as D
 from caudal.operators import filters, membership, quality, series, stations
+from caudal.plans.observations import observation_statistics, with_observation_statistics
 from caudal.sinks import stage, write_csv, write_steps
 
 
@@ -29,8 +31,13 @@ def make_tables_b(
     station_filter: dict | None = None, variable_ids: list[int] | None = None,
     excluded: list[int] | None = None, monthly_stats: bool = False,
     percentiles: list[float] | None = None, begin_days: int = D.ACTIVITY_DAYS,
+    observations: DataFrame | None = None,
 ) -> TablesB:
-    """Locations and series of catalogue B from landed stations and series."""
+    """Locations and series of catalogue B from landed stations and series.
+
+    With ``observations`` the series' ranges and statistics are computed from them, for the chosen
+    series only: the selection goes below the histogram.
+    """
     chosen = filters.stations_where(
         station_rows, **(D.DEFAULT_STATION_FILTER if station_filter is None else station_filter)
     )
@@ -42,10 +49,14 @@ def make_tables_b(
         proc_id=D.DEFAULT_PROCEDURES,
         var_id=D.DEFAULT_VARIABLE_IDS if variable_ids is None else variable_ids,
     )
-    wanted = filters.date_range_after(wanted, as_of, begin_days)
     # Only series of the chosen stations are harvested.
     ids = station_table.select("STATION_ID")
     wanted = wanted.join(ids, wanted["estacion.id"] == ids["STATION_ID"], "left_semi")
+    if observations is not None:
+        chosen_ids = wanted.select(F.col("id").alias("series_id")).distinct()
+        own = observations.join(chosen_ids, "series_id", "left_semi")
+        wanted = with_observation_statistics(wanted, observation_statistics(own, percentiles))
+    wanted = filters.date_range_after(wanted, as_of, begin_days)
     table = series.series_b(
         wanted, station_table, monthly_stats,
         D.DEFAULT_PERCENTILES if percentiles is None else percentiles,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +42,14 @@ def build_session(app: str = "caudal", master: str | None = None, **conf: str) -
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a local folder made.
+    Only a local session (tests, a laptop) gets a local folder where that setting is absent; on a
+    cluster each executor would write to its own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix=f"{label}-")
 
 

@@ -1,9 +1,11 @@
 """Writers of output tables."""
 
 from caudal.sinks.files import (
-    stage, write_by_variable, write_csv, write_json, write_records_xml, write_result, write_steps,
+    stage, write_by_variable, write_csv, write_json, write_records_xml, write_result, write_scratch,
+    write_steps,
 )
 
 __all__ = [
-    "stage", "write_by_variable", "write_csv", "write_json", "write_records_xml", "write_result", "write_steps",
+    "stage", "write_by_variable", "write_csv", "write_json", "write_records_xml", "write_result", "write_scratch",
+    "write_steps",
 ]

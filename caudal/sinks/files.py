@@ -60,6 +60,13 @@ def write_result(df: DataFrame, path: str, format: str = "csv") -> None:
         raise ValueError(f"unknown result format {format!r}")
 
 
+def write_scratch(df: DataFrame, label: str) -> DataFrame:
+    """The table written once in the shared scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, column: str, label: str) -> DataFrame:
     """The table written once, partitioned by ``column``, in the shared scratch folder.
 
@@ -86,7 +93,8 @@ def write_by_variable(
     for name, columns in fixed.items():
         rows = staged.filter(F.col("variableName") == name).drop("variableName")
         write_csv(conform(rows, columns), f"{path}/{name}.csv")
-    rest = staged.filter(~F.col("variableName").isin(list(fixed))) if fixed else staged
+    # A row without a name is in no fixed table either.
+    rest = staged.filter(F.coalesce(~F.col("variableName").isin(list(fixed)), F.lit(True))) if fixed else staged
     write_csv(
         rest.hint("rebalance", "variableName"), f"{path}/other", partition_by=["variableName"]
     )
@@ -109,12 +117,13 @@ def write_steps(
             rows = conform_b(series.filter(variable == variable_id), D.CONFORMED_VARIABLES[variable_id])
             write_csv(rows, f"{path}/{name}.csv", order_by=order)
         if variables is not None:
-            rest = series.filter(~variable.isin(list(D.TABLE_BY_VARIABLE)))
+            rest = series.filter(F.coalesce(~variable.isin(list(D.TABLE_BY_VARIABLE)), F.lit(True)))
             names = variables.select(
                 F.col("id").alias("EXTERNAL_PARAMETER_ID"),
                 F.concat(F.lit("INA_"), F.col("nombre")).alias("name"),
             )
-            named = rest.join(names, "EXTERNAL_PARAMETER_ID")
+            # A variable that the table does not name goes to the folder of the NULL name.
+            named = rest.join(names, "EXTERNAL_PARAMETER_ID", "left")
             write_csv(named.hint("rebalance", "name"), f"{path}/other", partition_by=["name"])
     if combined:
         for name, (table, ids) in D.COMBINED_TABLES.items():

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal import schemas as S
 from caudal.functions.times import instant, round_to_minute
+from caudal.operators.filters import observations_between
 from caudal.sources.pages import read_flat, read_items
 
 
@@ -47,9 +50,13 @@ def conform_observations(raw: DataFrame) -> DataFrame:
 
 
 def read_observations(
-    spark: SparkSession, path: str, format: str = "parquet", multi_line: bool = False
+    spark: SparkSession, path: str, format: str = "parquet", multi_line: bool = False,
+    series_id=None, timestart: datetime | str | None = None, timeend: datetime | str | None = None,
 ) -> DataFrame:
-    """Observations (series_id, timestart, timeend, valor) from Parquet or landed JSON."""
-    if format == "json":
-        return conform_observations(read_flat(spark, path, S.OBSERVATION_JSON, multi_line))
-    return conform_observations(spark.read.format(format).load(path))
+    """Observations (series_id, timestart, timeend, valor) from Parquet or landed JSON.
+
+    Series and time range are compared with the stored columns, so they reach the scan and, where the
+    table lies in ``day=`` folders, leave only the folders of the range; times are rounded last.
+    """
+    raw = read_flat(spark, path, S.OBSERVATION_JSON, multi_line) if format == "json" else spark.read.format(format).load(path)
+    return conform_observations(observations_between(raw, timestart, timeend, series_id))

@@ -10,20 +10,22 @@ from caudal import schemas as S
 
 def read_series_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A series table written earlier, all parts of its folder (SRC-16)."""
-    # Declared by position: the header is checked against the schema.
+    # Declared by position: the header is checked against the schema.  Fields may hold line breaks; a
+    # value that does not fit its column fails the read.
     return (
         spark.read.schema(S.series_csv_schema(columns))
         .option("header", True).option("enforceSchema", False).option("escape", '"')
-        .option("multiLine", False).csv(path)
+        .option("multiLine", True).option("mode", "FAILFAST").csv(path)
     )
 
 
 def read_basins(spark: SparkSession, path: str) -> DataFrame:
-    """(basin_ord, name, edges, bounds) of the polygons of a GeoJSON file (SRC-14)."""
+    """(basin_ord, name, edges, bounds) of the polygons of GeoJSON files (SRC-14), in order of file and place."""
     features = (
         spark.read.schema(S.BASINS_GEOJSON).option("multiLine", True).option("mode", "FAILFAST")
         .json(path)
-        .select(F.posexplode("features").alias("basin_ord", "f"))
+        .select(F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("place", "f"))
+        .select(F.struct("file", "place").alias("basin_ord"), "f")
     )
     # A Polygon nests its rings one level less than a MultiPolygon; both end as
     # one list of rings, since holes and parts count alike for even-odd parity.

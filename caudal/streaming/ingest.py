@@ -3,61 +3,77 @@
 The checkpoint of the stream takes the place of the resumption token: a run
 reads the page files that arrived since the last one and appends their rows.
 Batch reads keep rows that occur on two overlapping pages, as the harvest
-does; the ingest removes them by key.
+does; the ingest removes them by key, against the keys the table already has.
+That needs no state and no event time: a file may arrive in any order and as
+late as it likes.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-LANDED = "landed_at"
-
-
-def _deduplicated(rows: DataFrame, key: list[str], horizon: str | None) -> DataFrame:
-    """Without a horizon every key ever seen is kept as state, which an endless
-    feed must bound: with one, a key is remembered for that long after landing."""
-    if horizon is None:
-        return rows.drop(LANDED).dropDuplicates(key)
-    return rows.withWatermark(LANDED, horizon).dropDuplicatesWithinWatermark(key).drop(LANDED)
+#: Partition folder of the table: the batch that wrote a row.
+BATCH = "ingest_batch"
+#: The source would skip files much older than the newest one it has seen.
+ANY_AGE = "36500d"
 
 
 def page_stream(
-    spark: SparkSession, landing: str, page_schema: str, field: str, key: list[str],
-    horizon: str | None = None, multi_line: bool = True, files_per_batch: int | None = None,
+    spark: SparkSession, landing: str, page_schema: str, field: str,
+    multi_line: bool = True, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Streaming rows of JSON pages, each key once."""
+    """Streaming rows of JSON pages."""
     reader = spark.readStream.schema(page_schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+    reader = reader.option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     pages = reader.json(landing)
     folders = [c for c in pages.columns if c != field]
-    rows = pages.select(
-        F.explode(field).alias("_item"), *folders, F.col("_metadata.file_modification_time").alias(LANDED)
-    ).select("_item.*", *folders, LANDED)
-    return _deduplicated(rows, key, horizon)
+    return pages.select(F.explode(field).alias("_item"), *folders).select("_item.*", *folders)
 
 
-def record_stream(
-    spark: SparkSession, landing: str, horizon: str | None = None, files_per_batch: int | None = None
-) -> DataFrame:
-    """Streaming (identifier, datestamp, setSpec, metadata) of record pages, each identifier once."""
+def record_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming (identifier, datestamp, setSpec, metadata) of record pages."""
     from caudal.sources.records import parse_record_text
 
-    reader = spark.readStream.option("lineSep", "</record>")
+    reader = spark.readStream.option("lineSep", "</record>").option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    chunks = reader.text(landing).select(
-        "value", F.col("_metadata.file_modification_time").alias(LANDED)
-    )
-    return _deduplicated(parse_record_text(chunks, LANDED), ["identifier"], horizon)
+    return parse_record_text(reader.text(landing))
+
+
+def _ingested(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame | None:
+    """The rows of earlier batches; None before the first."""
+    try:
+        return spark.read.schema(StructType([*rows.schema.fields, StructField(BATCH, LongType())])).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _append(rows: DataFrame, table: str, checkpoint: str, key: list[str]) -> StreamingQuery:
+    """New keys of every batch in a folder of the batch.
+
+    A batch that runs again after a failure replaces its own folder and is compared with earlier batches only, so it
+    leaves neither duplicates nor gaps.  Only the key columns of the table are read.
+    """
 
+    def write(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(key)
+        earlier = _ingested(batch.sparkSession, table, batch)
+        if earlier is not None:
+            known = earlier.where(F.col(BATCH) < number).select(*[F.col(k).alias(f"known_{i}") for i, k in enumerate(key)])
+            same = [F.col(k).eqNullSafe(F.col(f"known_{i}")) for i, k in enumerate(key)]
+            fresh = fresh.join(known, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{table}/{BATCH}={number}")
 
-def _append(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     return (
-        rows.writeStream.format("parquet").outputMode("append")
-        .option("path", table).option("checkpointLocation", checkpoint)
+        rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
@@ -66,12 +82,12 @@ def ingest_pages(
     spark: SparkSession, landing: str, table: str, checkpoint: str, page_schema: str, field: str,
     key: list[str], **options,
 ) -> StreamingQuery:
-    """Append the rows of all pages landed since the last run; ``table`` and
+    """Append the rows of all pages landed since the last run, each key once; ``table`` and
     ``checkpoint`` belong on storage every executor reaches."""
-    return _append(page_stream(spark, landing, page_schema, field, key, **options), table, checkpoint)
+    return _append(page_stream(spark, landing, page_schema, field, **options), table, checkpoint, key)
 
 
 def ingest_records(
     spark: SparkSession, landing: str, table: str, checkpoint: str, **options
 ) -> StreamingQuery:
-    return _append(record_stream(spark, landing, **options), table, checkpoint)
+    return _append(record_stream(spark, landing, **options), table, checkpoint, ["identifier"])

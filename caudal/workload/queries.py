@@ -643,7 +643,7 @@ FROM events GROUP BY user_id, month(ts)""")
 def monthly_stats_events(spark: SparkSession, sf: str) -> DataFrame:
     """A-09 with the slicing of large groups forced on: every group takes the sliced path."""
     monthly = statistics.monthly_statistics(
-        V.fine_observations(spark, sf), slice_above=8, slices=4
+        V.fine_observations(spark, sf), slices=4
     )
     # Means of 64 two-decimal values lie exactly between two numbers of seven
     # decimals, where the order of summation would decide; eight have no such case.
@@ -733,11 +733,10 @@ job AS (
 
 
 def _tables_b(spark: SparkSession, sf: str):
-    rows = V.series_b(spark, sf)
-    nested = with_observation_statistics(rows, observation_statistics(V.observations(spark, sf)))
     return make_tables_b(
-        V.stations_b(spark, sf), nested, "2001-09-01", excluded=EXCLUDED,
+        V.stations_b(spark, sf), V.series_b(spark, sf), "2001-09-01", excluded=EXCLUDED,
         station_filter={"pais": "Argentina", "has_obs": True, "habilitar": True},
+        observations=V.observations(spark, sf),
     )
 
 

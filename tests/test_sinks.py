@@ -55,8 +55,29 @@ def test_one_table_per_variable(spark, tmp_path):
 
 def test_write_stops_without_series(spark, tmp_path):
     empty = series_table(spark).filter("STATION_ID = 'none'")
+    (tmp_path / "locations.csv").mkdir()
+    (tmp_path / "locations.csv" / "part-0.csv").write_text("old")
     with pytest.raises(NoRows):
-        write_tables_a(TablesA(empty, empty, empty), str(tmp_path))
+        write_tables_a(TablesA(empty, lambda rows: (rows, rows)), str(tmp_path))
+    assert (tmp_path / "locations.csv" / "part-0.csv").read_text() == "old"
+
+
+def test_rows_without_a_variable_name_are_written(spark, tmp_path):
+    rows = [("P", 1), ("X", 2), (None, 3)]
+    sinks.write_by_variable(spark.createDataFrame(rows, "variableName string, STATION_ID int"), str(tmp_path), {"P": ["STATION_ID"]})
+    other = spark.read.option("header", True).csv(f"{tmp_path}/other").collect()
+    assert sorted((r.STATION_ID, r.variableName) for r in other) == [("2", "X"), ("3", None)]
+
+
+def test_line_breaks_survive_the_round_trip(spark, tmp_path):
+    from caudal import sources
+
+    columns = S.SERIES_COLUMNS["P"]
+    schema = S.series_csv_schema(columns)
+    row = ['A\nB, "q"' if f.dataType.typeName() == "string" and f.name == "STATION_NAME" else None for f in spark.createDataFrame([], schema).schema.fields]
+    sinks.write_csv(spark.createDataFrame([tuple(row)], schema), str(tmp_path / "t"))
+    back = sources.read_series_csv(spark, str(tmp_path / "t"), columns).collect()
+    assert [r.STATION_NAME for r in back] == ['A\nB, "q"']
 
 
 def test_steps(spark, tmp_path):

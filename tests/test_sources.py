@@ -146,9 +146,9 @@ def record(i, metadata=True, status=""):
 def test_record_pages(spark, tmp_path):
     put(tmp_path, "records_2.xml", PAGE.format(
         records=record(1) + "\n" + record(2, False, ' status="deleted"'),
-        token='<resumptionToken completeListSize="4" cursor="2">tok</resumptionToken>'))
+        token='<resumptionToken completeListSize="3" cursor="2">tok</resumptionToken>'))
     path = put(tmp_path, "records_4.xml", PAGE.format(
-        records=record(3) + record(1), token='<resumptionToken completeListSize="4" cursor="4"/>'))
+        records=record(3) + record(1), token='<resumptionToken completeListSize="3" cursor="3"/>'))
     records = sources.read_records(spark, path)
     rows = sorted(records.collect(), key=lambda r: (r.identifier, r.page))
     assert [r.identifier for r in rows] == ["id1", "id1", "id2", "id3"]
@@ -159,9 +159,9 @@ def test_record_pages(spark, tmp_path):
     assert sorted(h.identifier for h in headers) == ["id1", "id1", "id2", "id3"]
     assert headers[0].datestamp.startswith("2020-01-0")
     tokens = {(t.token, t.completeListSize, t.cursor) for t in sources.read_page_tokens(spark, path).collect()}
-    assert tokens == {("tok", 4, 2), (None, 4, 4)}
+    assert tokens == {("tok", 3, 2), (None, 3, 3)}
     done = quality.completeness(records, sources.read_page_tokens(spark, path)).collect()
-    assert [(d.records, d.expected, d.last_cursor, d.complete) for d in done] == [(4, 4, 4, True)]
+    assert [(d.records, d.expected, d.last_cursor, d.complete) for d in done] == [(3, 3, 3, True)]
 
 
 def test_incomplete_harvest(spark, tmp_path):
@@ -191,7 +191,10 @@ def test_basins(spark, tmp_path):
     rows = {r.name: r for r in sources.read_basins(spark, path).collect()}
     assert len(rows["a"].edges) == 4 and len(rows["b"].edges) == 8
     assert rows["b"].bounds.asDict() == {"xmin": 0.0, "xmax": 6.0, "ymin": 0.0, "ymax": 6.0}
-    assert (rows["a"].basin_ord, rows["b"].basin_ord) == (0, 1)
+    assert (rows["a"].basin_ord.place, rows["b"].basin_ord.place) == (0, 1)
+    path = put(tmp_path / "two", "a.geojson", json.dumps({"type": "FeatureCollection", "features": features[:1]}))
+    put(tmp_path / "two", "b.geojson", json.dumps({"type": "FeatureCollection", "features": features[1:]}))
+    assert [r.name for r in sources.read_basins(spark, path).orderBy("basin_ord").collect()] == ["a", "b"]
 
 
 def test_catalogue_b_sources(spark, tmp_path):

@@ -21,8 +21,8 @@ def observations(spark, n=3000, hot=0.5, seed=3):
     return rows, spark.createDataFrame(rows, "series_id long, timestart timestamp, timeend timestamp, valor double")
 
 
-@pytest.mark.parametrize("limits", [{}, {"slice_above": 50, "slices": 4}, {"slice_above": 0, "slices": 7},
-                                    {"slice_above": 10, "slices": 5, "max_sliced": 3}])
+@pytest.mark.parametrize("limits", [{}, {"slices": 4}, {"slices": 7},
+                                    {"slices": 2}])
 def test_monthly_statistics_equal_numpy(spark, limits):
     rows, frame = observations(spark)
     groups = {}
@@ -41,7 +41,7 @@ def test_monthly_statistics_equal_numpy(spark, limits):
 
 def test_series_percentiles_equal_numpy(spark):
     rows, frame = observations(spark)
-    got = {(r.series_id, r.percentile): r.valor for r in S.series_percentiles(frame, [0.05, 0.95], slice_above=100).collect()}
+    got = {(r.series_id, r.percentile): r.valor for r in S.series_percentiles(frame, [0.05, 0.95]).collect()}
     for series in {r[0] for r in rows}:
         values = [r[3] for r in rows if r[0] == series and r[3] is not None]
         for p in (0.05, 0.95):
@@ -89,5 +89,5 @@ def test_bulk_data_is_shuffled_once_before_ranking(spark):
     """Only the histogram moves data; the auxiliary passes combine first."""
     _, frame = observations(spark)
     plan = S.monthly_statistics(frame)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [sum(_c#") == 2           # both over the same exchange
+    assert plan.count("Window [sum(_c#") == 1           # only slices that hold a wanted rank
     assert "Cartesian" not in plan and "NestedLoop" not in plan

@@ -1,4 +1,5 @@
 import json
+import os
 
 from caudal import schemas as S
 from caudal import sources
@@ -29,14 +30,28 @@ def test_ingest_resumes_and_keeps_each_key_once(spark, tmp_path):
     assert sorted({r.id for r in batch.collect()}) == [1, 2, 3, 4, 5] and batch.count() == 7
 
 
-def test_bounded_state(spark, tmp_path):
+def test_late_file_is_not_lost(spark, tmp_path):
     landing = put(tmp_path / "in", "p1.json", rows_page(1, 2, 2))
-    query = ingest_pages(
-        spark, landing, str(tmp_path / "table"), str(tmp_path / "check"), S.SERIES_B_PAGE, "rows", ["id"],
-        horizon="1 hour", files_per_batch=1,
-    )
-    query.awaitTermination()
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "table")).collect()) == [1, 2]
+    table = str(tmp_path / "table")
+
+    def run():
+        ingest_pages(
+            spark, landing, table, str(tmp_path / "check"), S.SERIES_B_PAGE, "rows", ["id"], files_per_batch=1,
+        ).awaitTermination()
+        return sorted(r.id for r in spark.read.parquet(table).collect())
+
+    assert run() == [1, 2]
+    put(tmp_path / "in", "p2.json", rows_page(2, 7))
+    os.utime(tmp_path / "in" / "p2.json", (1_000_000, 1_000_000))
+    assert run() == [1, 2, 7]
+
+
+def test_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    landing = put(tmp_path / "in", "p1.json", rows_page(1, 2))
+    table = str(tmp_path / "table")
+    for check in ("a", "b"):  # a new checkpoint starts again with batch 0
+        ingest_pages(spark, landing, table, str(tmp_path / check), S.SERIES_B_PAGE, "rows", ["id"]).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [1, 2]
 
 
 def test_records_stream_like_the_batch(spark, tmp_path):
