@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.common import parts
-from caudal.llm.tokens import BATCH_BYTES, cache, cut
+from caudal.llm.tokens import BATCH_BYTES, KEPT_PIECES, cache, cut
 
 END_ID = 0
 
@@ -26,13 +26,14 @@ def _ids(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bool = False, kept: int = KEPT_PIECES) -> DataFrame:
     """One row per piece: each document's ids (with the end id 0) cut into powers of two.
 
     A piece is a sequence of its own, so no sequence crosses documents and none needs padding;
     sequences of one ``length`` form a bucket that is trained on together.  ``sequence_id`` numbers
     the pieces by scan task, without a shuffle: a task that runs again reads the same split and gives
     the same numbers.  ``with_ids`` adds the ids as ``ids array<int>``.
+    ``kept`` bounds the pieces of text a worker remembers (memory against time, the result is the same).
     NULL or empty text is the end id alone; repeated rows are packed each by itself; a NULL id
     stays NULL; other columns are never read; an empty table gives an empty result.
     """
@@ -43,7 +44,7 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bo
     kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(tokenizer_path, "ids", _ids)
+        known = cache(tokenizer_path, "ids", _ids, kept)
         for batch in parts(batches, BATCH_BYTES):
             lists = [cut(tokenizer_path, x or "") for x in batch.column("text").to_pylist()]
             known.learn(lists)

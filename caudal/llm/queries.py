@@ -55,7 +55,7 @@ def op2_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_power_packing")
 def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: documents packed into power-of-two pieces."""
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), 1024)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), 1024, kept=1_000_000)
 
 
 _OP4_SQL = r"""
@@ -122,7 +122,7 @@ def op4_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 5: token counts of whole texts."""
-    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer(), 512)
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer(), 512, kept=1_000_000)
 
 
 @_query("op6_radix_windows")

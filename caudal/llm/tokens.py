@@ -15,8 +15,8 @@ from caudal.llm.common import parts
 
 #: Bytes of text encoded at once: batches are cut by bytes, not by rows.
 BATCH_BYTES = 4 << 20
-#: Distinct pieces whose encoding a Python worker keeps.
-KEPT_PIECES = 500_000
+#: Distinct pieces whose encoding a Python worker keeps, at about 250 bytes each; then it starts anew.
+KEPT_PIECES = 300_000
 
 # A cut before a space or line break that follows another character is safe: no token of the byte-level
 # pattern reaches over it; nor does one from a letter or digit to a stop or comma.  Texts with other white space
@@ -37,7 +37,8 @@ def safe_pieces(text: str) -> list[str]:
 class PieceCache(dict):
     """Encodings by piece, filled by one library call for all unknown pieces of a batch."""
 
-    def __init__(self, path: str, keep: Callable):
+    def __init__(self, path: str, keep: Callable, most: int):
+        self.most = most
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         if path.endswith(".model"):
             import sentencepiece
@@ -55,7 +56,7 @@ class PieceCache(dict):
     def learn(self, lists: list[list[str]]) -> None:
         pieces = set(chain.from_iterable(lists))
         unknown = list(pieces.difference(self))
-        if len(self) + len(unknown) > KEPT_PIECES:
+        if len(self) + len(unknown) > self.most:
             self.clear()
             unknown = list(pieces)
         for i in range(0, len(unknown), 20_000):
@@ -66,10 +67,11 @@ class PieceCache(dict):
 _caches: dict[tuple, PieceCache] = {}
 
 
-def cache(path: str, kind: str, keep: Callable) -> PieceCache:
+def cache(path: str, kind: str, keep: Callable, most: int = KEPT_PIECES) -> PieceCache:
     """One cache for a tokenizer file and kind of result, kept while the Python worker lives."""
     if (path, kind) not in _caches:
-        _caches[path, kind] = PieceCache(path, keep)
+        _caches[path, kind] = PieceCache(path, keep, most)
+    _caches[path, kind].most = most
     return _caches[path, kind]
 
 
@@ -78,17 +80,18 @@ def cut(path: str, text: str) -> list[str]:
     return [text] if path.endswith(".model") else safe_pieces(text)
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, kept: int = KEPT_PIECES) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row; texts never leave the task.
 
     The scan is the only stage.  Each Arrow batch is cut by bytes, long texts are cut where tokens
     always end, and every distinct piece of a batch is encoded once, all in one call.
+    ``kept`` bounds the pieces a worker remembers (memory against time, the result is the same).
     NULL text counts as empty (0 bytes, 0 tokens); a NULL id stays NULL; repeated rows give
     repeated results; other columns are never read; an empty table gives an empty result.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(tokenizer_path, "count", len)
+        known = cache(tokenizer_path, "count", len, kept)
         for batch in parts(batches, BATCH_BYTES):
             lists = [cut(tokenizer_path, x or "") for x in batch.column("text").to_pylist()]
             known.learn(lists)
