@@ -256,10 +256,10 @@ def semantic_variables(rows: DataFrame) -> DataFrame:
 
 
 def records_where(records: DataFrame, identifier=None, set_spec=None) -> DataFrame:
-    """Records of a set or with an identifier (F-13, F-14)."""
+    """Records in any of some sets (a record may be in several), or with an identifier (F-13, F-14)."""
     result = records
-    for column, value in (("identifier", identifier), ("setSpec", set_spec)):
-        values = _as_list(value)
-        if values:
-            result = result.filter(F.col(column).isin(values))
+    if ids := _as_list(identifier):
+        result = result.filter(F.col("identifier").isin(ids))
+    if sets := _as_list(set_spec):
+        result = result.filter(F.arrays_overlap("setSpecs", F.array(*[F.lit(x) for x in sets])))
     return result

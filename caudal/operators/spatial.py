@@ -40,30 +40,34 @@ def _cell(value: Column, size: float) -> Column:
 
 
 def grid_basins(basins: DataFrame, size: float) -> DataFrame:
-    """One row per basin and grid cell its box meets: (cx, cy, basin_ord, name, edges).
+    """One row per basin and grid cell that holds edges to test: (cx, cy, basin_ord, name, edges).
 
     A ray towards larger x from a point of the cell can meet only edges that
-    reach the height of the cell and are not left of it.
+    reach the height of the cell and are not left of it.  Each edge goes to the
+    cells it matters in, so the work is that of the result, whatever the number
+    of cells in a polygon's box; a file of many polygons is dealt out first.
     """
-    cells = basins.select(
-        "basin_ord", "name", "edges",
-        F.explode(F.sequence(_cell(F.col("bounds.xmin"), size), _cell(F.col("bounds.xmax"), size))).alias("cx"),
-        F.col("bounds"),
-    ).select(
-        "basin_ord", "name", "edges", "cx",
-        F.explode(F.sequence(_cell(F.col("bounds.ymin"), size), _cell(F.col("bounds.ymax"), size))).alias("cy"),
-    )
     # The slack covers the rounding of coordinate / size.
-    slack = 1e-6
-    left, low = (F.col("cx") - slack) * size, (F.col("cy") - slack) * size
-    high = (F.col("cy") + 1 + slack) * size
-    relevant = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= left)
-        & (F.greatest(e["y1"], e["y2"]) >= low)
-        & (F.least(e["y1"], e["y2"]) <= high),
+    slack, bounds = 1e-6, F.col("bounds")
+    edges = basins.repartition("basin_ord").select("basin_ord", "name", "bounds", F.explode("edges").alias("e"))
+
+    def least(axis: str) -> Column:
+        return F.least(f"e.{axis}1", f"e.{axis}2")
+
+    def most(axis: str) -> Column:
+        return F.greatest(f"e.{axis}1", f"e.{axis}2")
+
+    columns = F.sequence(
+        _cell(bounds["xmin"], size),
+        F.least(_cell(bounds["xmax"], size), F.floor(most("x") / size + slack).cast("int")),
+    )
+    rows = F.sequence(
+        F.greatest(_cell(bounds["ymin"], size), F.ceil(least("y") / size - 1 - slack).cast("int")),
+        F.least(_cell(bounds["ymax"], size), F.floor(most("y") / size + slack).cast("int")),
     )
-    return cells.withColumn("edges", relevant).filter(F.size("edges") > 0)
+    placed = edges.select("basin_ord", "name", "e", columns.alias("columns"), F.explode(rows).alias("cy"))
+    cells = placed.select("basin_ord", "name", "e", F.explode("columns").alias("cx"), "cy")
+    return cells.groupBy("basin_ord", "name", "cx", "cy").agg(F.collect_list("e").alias("edges"))
 
 
 def locate(
@@ -88,8 +92,9 @@ def assign_basin(
 ) -> DataFrame:
     """Add the name of the basin that holds each row's point, NULL without one."""
     located = locate(df, basins, longitude, latitude, cell)
-    return (
-        df.join(located, (F.col(longitude) == F.col("_x")) & (F.col(latitude) == F.col("_y")), "left")
-        .withColumn(output, F.col("_basin"))
-        .drop("_x", "_y", "_basin")
-    )
+    x, y = F.col(longitude), F.col(latitude)
+    placed = x.isNotNull() & y.isNotNull()
+    joined = df.where(placed).join(located, (x == F.col("_x")) & (y == F.col("_y")), "left")
+    # Rows without a point would all meet in one task of the join.
+    rest = df.where(~placed).withColumn(output, F.lit(None).cast("string"))
+    return joined.withColumn(output, F.col("_basin")).drop("_x", "_y", "_basin").unionByName(rest)

@@ -34,7 +34,6 @@ VARIABLE_XML = "variableCode STRING, variableName STRING, unit STRUCT<unitName S
 
 # ---- catalogue record pages -------------------------------------------------
 
-RECORD_HEADER = "identifier STRING, datestamp STRING, setSpec STRING"
 PAGE_TOKEN = "_VALUE STRING, _completeListSize INT, _cursor INT"
 METADATA_FORMAT = "metadataPrefix STRING"
 

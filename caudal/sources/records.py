@@ -1,44 +1,63 @@
-"""Catalogue record pages (harvesting protocol XML)."""
+"""Catalogue record pages (harvesting protocol XML).
+
+A landed file is one answer of the service (or a few), so it is read whole; the service bounds its size.
+Elements of the protocol count by their local name, whatever prefix the service gives its namespace.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal import schemas as S
 from caudal.functions.text import unescape_entities
 
 _HEADER_FIELDS = ("identifier", "datestamp", "setSpec")
+_PREFIX = r"(?:[\w.-]+:)?"
+_NOTHING = r"\s*(?:<!--(?s:.*?)-->\s*)*"
+#: A record of the protocol opens with its header.  An element named record inside the metadata does not.
+_RECORD_START = rf"(?=<{_PREFIX}record(?:\s[^>]*)?>{_NOTHING}<{_PREFIX}header[\s>])"
 
 
-def _elements(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """(page, element) of every ``<tag>`` in a folder of XML pages.
+def _pages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("page"))
 
-    The text is cut at the closing tag instead of parsing whole documents:
-    pages may then be of any size, several to a file, and are split over tasks.
-    """
-    element = rf"(?s)<{tag}(?:\s[^>]*)?/>|<{tag}(?:\s[^>/]*|\s[^>]*[^/>])?>(?:(?!<{tag}[\s>]).)*\z"
-    chunks = spark.read.option("lineSep", f"</{tag}>").text(path)
-    found = chunks.select(
-        F.col("_metadata.file_path").alias("page"),
-        F.explode(F.regexp_extract_all("value", F.lit(element), 0)).alias("xml"),
-    )
-    closed = F.when(F.endswith("xml", F.lit("/>")), F.col("xml")).otherwise(
-        F.concat("xml", F.lit(f"</{tag}>"))
-    )
-    return found.select(
-        "page", F.from_xml(closed, schema, {"mode": "FAILFAST"}).alias("element")
+
+def _found(pages: DataFrame, element: str) -> DataFrame:
+    return pages.select("page", F.explode(F.regexp_extract_all("value", F.lit(element), 0)).alias("xml"))
+
+
+def _elements(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """(page, element) of every ``<tag>``, with or without content."""
+    element = rf"(?s)<{_PREFIX}{tag}(?:\s[^>]*?)?(?:/>|(?<!/)>.*?</{_PREFIX}{tag}>)"
+    plain = F.regexp_replace("xml", rf"<(/?){_PREFIX}(?=[\w.-])", "<$1")
+    return _found(_pages(spark, path), element).select(
+        "page", F.from_xml(plain, schema, {"mode": "FAILFAST"}).alias("element")
     )
 
 
+def _header(head: Column) -> list[Column]:
+    """identifier, datestamp, first set and all sets of a header's text."""
+
+    def pattern(name: str) -> str:
+        return rf"(?s)<{_PREFIX}{name}(?:\s[^>]*)?>\s*(.*?)\s*</{_PREFIX}{name}>"
+
+    sets = F.regexp_extract_all(head, F.lit(pattern("setSpec")), 1)
+    return [
+        *[unescape_entities(F.nullif(F.regexp_extract(head, pattern(n), 1), F.lit(""))).alias(n) for n in _HEADER_FIELDS],
+        F.transform(sets, unescape_entities).alias("setSpecs"),
+    ]
+
+
 def read_metadata_formats(spark: SparkSession, path: str) -> DataFrame:
     """Offered metadata formats (SRC-05)."""
     return _elements(spark, path, "metadataFormat", S.METADATA_FORMAT).select("element.*")
 
 
 def read_identifiers(spark: SparkSession, path: str) -> DataFrame:
-    """Record headers of identifier or record pages (SRC-06)."""
-    return _elements(spark, path, "header", S.RECORD_HEADER).select("element.*")
+    """(identifier, datestamp, setSpec, setSpecs) of the headers of identifier or record pages (SRC-06)."""
+    header = rf"(?s)<{_PREFIX}header(?:\s[^>]*)?>{_NOTHING}<{_PREFIX}identifier[\s>].*?</{_PREFIX}header>"
+    return _found(_pages(spark, path), header).select(*_header(F.col("xml")))
 
 
 def read_page_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -52,32 +71,23 @@ def read_page_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(page, identifier, datestamp, setSpec, metadata) of every record (SRC-07).
+    """(page, identifier, datestamp, setSpec, setSpecs, metadata) of every record (SRC-07).
 
     ``metadata`` is the inner XML exactly as it was served.  The XML reader
     would hand it out with its entities decoded, hence no longer well-formed;
-    cutting the text at the closing record tag keeps it verbatim and lets
-    Spark split large pages.
+    cutting the text where records start keeps it verbatim.
     """
-    chunks = spark.read.option("lineSep", "</record>").text(path)
-    return parse_record_text(
-        chunks.select("value", F.col("_metadata.file_path").alias("page")), "page"
-    )
+    return parse_record_text(_pages(spark, path), "page")
 
 
-def parse_record_text(chunks: DataFrame, *keep: str) -> DataFrame:
-    """Records from text cut at the closing record tag, with the columns to ``keep`` in front."""
-    rows = chunks.filter(F.col("value").rlike(r"<record[\s>]")).select(
-        *keep, F.regexp_extract("value", r"(?s)<record(?:\s[^>]*)?>(.*)$", 1).alias("record")
-    )
-    head = F.regexp_extract("record", r"(?s)^(.*?)</header>", 1)
-
-    def field(name: str):
-        found = F.regexp_extract(head, rf"(?s)<{name}>\s*(.*?)\s*</{name}>", 1)
-        return unescape_entities(F.nullif(found, F.lit(""))).alias(name)
+def parse_record_text(pages: DataFrame, *keep: str) -> DataFrame:
+    """Records of whole pages in ``value``, with the columns to ``keep`` in front.
 
-    metadata = F.regexp_extract("record", r"(?s)<metadata(?:\s[^>]*)?>\s*(.*\S)\s*</metadata>", 1)
-    return rows.select(
-        *keep, *[field(n) for n in _HEADER_FIELDS],
-        F.nullif(metadata, F.lit("")).alias("metadata"),
-    )
+    A record whose header cannot be read stays, with a NULL identifier.  ``setSpec`` is the first of ``setSpecs``.
+    """
+    pieces = pages.select(*keep, F.explode(F.split("value", _RECORD_START)).alias("record"))
+    # What stands before the first record of a page is none.
+    rows = pieces.filter(F.col("record").rlike(rf"^{_RECORD_START}"))
+    head = F.regexp_extract("record", rf"(?s)^(.*?)</{_PREFIX}header>", 1)
+    metadata = F.regexp_extract("record", rf"(?s)<{_PREFIX}metadata(?:\s[^>]*)?>\s*(.*\S)\s*</{_PREFIX}metadata>", 1)
+    return rows.select(*keep, *_header(head), F.nullif(metadata, F.lit("")).alias("metadata"))

@@ -32,6 +32,11 @@ def read_basins(spark: SparkSession, path: str) -> DataFrame:
     polygon = F.from_json("f.geometry.coordinates", "ARRAY<ARRAY<ARRAY<DOUBLE>>>")
     multi = F.flatten(F.from_json("f.geometry.coordinates", "ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>"))
     rings = F.when(F.col("f.geometry.type") == "MultiPolygon", multi).otherwise(polygon)
+    # Coordinates that cannot be read fail the job: a basin never vanishes.
+    unread = F.col("f.geometry.coordinates").isNotNull() & (
+        F.coalesce(F.exists(F.flatten(F.flatten(rings)), lambda c: c.isNull()), F.lit(True))
+    )
+    rings = F.when(unread, F.raise_error(F.concat(F.lit("MALFORMED coordinates in "), F.col("basin_ord.file")))).otherwise(rings)
     return basins_from_rings(
         features.select("basin_ord", F.col("f.properties.nombre_3").alias("name"), rings.alias("rings"))
     )

@@ -37,13 +37,13 @@ def page_stream(
 
 
 def record_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Streaming (identifier, datestamp, setSpec, metadata) of record pages."""
+    """Streaming (identifier, datestamp, setSpec, setSpecs, metadata) of record pages."""
     from caudal.sources.records import parse_record_text
 
-    reader = spark.readStream.option("lineSep", "</record>").option("maxFileAge", ANY_AGE)
+    reader = spark.readStream.option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return parse_record_text(reader.text(landing))
+    return parse_record_text(reader.text(landing, wholetext=True))
 
 
 def _ingested(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame | None:

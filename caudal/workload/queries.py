@@ -874,11 +874,12 @@ SELECT 'id-' || c_custkey AS identifier, strftime(DATE '2020-01-01' + CAST(c_cus
   lower(c_mktsegment) AS "setSpec" FROM customer""")
 def record_identifiers(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-06: record headers."""
-    return sources.read_identifiers(spark, V.land_records(spark, sf))
+    return sources.read_identifiers(spark, V.land_records(spark, sf)).drop("setSpecs")
 
 
 _METADATA = """'<wmdr:Record xmlns:wmdr="http://def.wmo.int/wmdr/2017" id="r' || c_custkey || '"><wmdr:name>' || c_name
-  || ' &amp; &lt;sons&gt;</wmdr:name></wmdr:Record>'"""
+  || ' &amp; &lt;sons&gt;</wmdr:name>' || CASE WHEN c_custkey % 7 = 0 THEN '<record xmlns="urn:x"><name/></record>' ELSE '' END
+  || '</wmdr:Record>'"""
 
 
 @query("record_pages", f"""
@@ -901,6 +902,14 @@ def record_filters(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("record_sets", """
+SELECT 'id-' || c_custkey AS identifier, 2 AS sets FROM customer WHERE c_custkey % 4 = 0""")
+def record_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """F-13, SRC-07: records of a set that is not their first."""
+    records = filters.records_where(sources.read_records(spark, V.land_records(spark, sf)), set_spec=["fourth", "none"])
+    return records.select("identifier", F.size("setSpecs").alias("sets"))
+
+
 @query("record_tokens", """
 SELECT page AS token, total AS "completeListSize", least((CAST(substr(page, 2) AS BIGINT) + 1) * 500, total) AS cursor
 FROM (SELECT DISTINCT 't' || lpad(CAST(c_custkey // 500 AS VARCHAR), 9, '0') AS page FROM customer),
@@ -922,6 +931,15 @@ def record_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("records", F.col("expected").cast("long").alias("expected"), "complete")
 
 
+@query("record_completeness_gap", """
+SELECT count(*) FILTER (c_custkey // 500 <> 0) AS records, count(*) AS expected, false AS complete FROM customer
+HAVING count(*) FILTER (c_custkey // 500 <> 0) > 0""")
+def record_completeness_gap(spark: SparkSession, sf: str) -> DataFrame:
+    """A-12: a harvest whose first page is missing, though its last cursor reached the end."""
+    _, done = record_harvest(spark, V.land_records(spark, sf, missing=0))
+    return done.select("records", F.col("expected").cast("long").alias("expected"), "complete")
+
+
 @query("record_xml", f"""
 SELECT 'id-' || c_custkey AS identifier, replace({_METADATA}, '"><wmdr:name>',
   '" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://def.wmo.int/wmdr/2017 '

@@ -381,26 +381,35 @@ def land_semantic(spark: SparkSession, sf: str) -> str:
     )
 
 
-OAI = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/">'
+OAI = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/" xmlns:p="http://www.openarchives.org/OAI/2.0/">'
 
 
-def land_records(spark: SparkSession, sf: str) -> str:
-    """Record pages from customers; every ninth has no metadata."""
+def land_records(spark: SparkSession, sf: str, missing: int | None = None) -> str:
+    """Record pages from customers, without the ``missing`` one.
+
+    Every ninth record has no metadata, every seventh a record element of another kind inside it, every fourth two
+    sets, and every fifth stands under a namespace prefix.
+    """
     customers = table(spark, sf, "customer")
     k = F.col("c_custkey")
     size = customers.select(F.count(F.lit(1))).scalar()
-    header = F.concat(
-        F.lit("<header><identifier>id-"), k.cast("string"), F.lit("</identifier><datestamp>"),
-        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")), "yyyy-MM-dd"),
-        F.lit("</datestamp><setSpec>"), F.lower("c_mktsegment"), F.lit("</setSpec></header>"),
-    )
-    metadata = F.concat(
-        F.lit('<metadata><wmdr:Record xmlns:wmdr="http://def.wmo.int/wmdr/2017" id="r'), k.cast("string"),
-        F.lit('"><wmdr:name>'), F.col("c_name"), F.lit(" &amp; &lt;sons&gt;</wmdr:name></wmdr:Record></metadata>"),
-    )
-    item = F.concat(
-        F.lit("<record>"), header, F.when(k % 9 != 0, metadata).otherwise(F.lit("")), F.lit("</record>")
-    )
+    prefix = F.when(k % 5 == 0, F.lit("p:")).otherwise(F.lit(""))
+
+    def element(name: str, content: Column) -> Column:
+        return F.concat(F.lit("<"), prefix, F.lit(f"{name}>"), content, F.lit("</"), prefix, F.lit(f"{name}>"))
+
+    day = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")), "yyyy-MM-dd")
+    second = F.when(k % 4 == 0, element("setSpec", F.lit("fourth"))).otherwise(F.lit(""))
+    header = element("header", F.concat(
+        element("identifier", F.concat(F.lit("id-"), k.cast("string"))), element("datestamp", day),
+        element("setSpec", F.lower("c_mktsegment")), second,
+    ))
+    inner = F.when(k % 7 == 0, F.lit('<record xmlns="urn:x"><name/></record>')).otherwise(F.lit(""))
+    metadata = element("metadata", F.concat(
+        F.lit('<wmdr:Record xmlns:wmdr="http://def.wmo.int/wmdr/2017" id="r'), k.cast("string"),
+        F.lit('"><wmdr:name>'), F.col("c_name"), F.lit(" &amp; &lt;sons&gt;</wmdr:name>"), inner, F.lit("</wmdr:Record>"),
+    ))
+    item = element("record", F.concat(header, F.when(k % 9 != 0, metadata).otherwise(F.lit(""))))
     # The cursor counts the records up to and including the page.
     last = F.least((F.col("page").cast("long") + 1) * PAGE_ROWS, size)
     tail = F.concat(
@@ -408,8 +417,9 @@ def land_records(spark: SparkSession, sf: str) -> str:
         F.lit('" cursor="'), last.cast("string"), F.lit('">t'), F.col("page"),
         F.lit("</resumptionToken></ListRecords></OAI-PMH>"),
     )
+    landed = customers if missing is None else customers.where(F.floor(k / PAGE_ROWS) != missing)
     return land_documents(
-        customers, page_number(k), k, item, f"{OAI}<ListRecords>\n", tail, "records"
+        landed, page_number(k), k, item, f"{OAI}<ListRecords>\n", tail, "records"
     )
 
 

@@ -164,6 +164,32 @@ def test_record_pages(spark, tmp_path):
     assert [(d.records, d.expected, d.last_cursor, d.complete) for d in done] == [(3, 3, 3, True)]
 
 
+def test_records_under_a_prefix(spark, tmp_path):
+    page = (
+        '<o:OAI-PMH xmlns:o="http://www.openarchives.org/OAI/2.0/"><o:ListRecords>'
+        '<o:record>\n<!-- a --><o:header status="x"><o:identifier>a&amp;b</o:identifier><o:datestamp>2020</o:datestamp>'
+        '<o:setSpec>s1</o:setSpec><o:setSpec>s2</o:setSpec></o:header>'
+        '<o:metadata><R><record><name>no</name></record><metadata>m</metadata></R></o:metadata></o:record>'
+        '<o:record><o:header><o:identifier>c</o:identifier></o:header></o:record>'
+        '<o:resumptionToken cursor="1" completeListSize="2"/></o:ListRecords></o:OAI-PMH>'
+    )
+    path = put(tmp_path, "p.xml", page)
+    one, two = sorted(sources.read_records(spark, path).collect(), key=lambda r: r.identifier)
+    assert (one.identifier, one.setSpec, one.setSpecs) == ("a&b", "s1", ["s1", "s2"])
+    assert one.metadata == "<R><record><name>no</name></record><metadata>m</metadata></R>"
+    assert (two.identifier, two.datestamp, two.setSpec, two.setSpecs, two.metadata) == ("c", None, None, [], None)
+    assert [r.identifier for r in records_where(sources.read_records(spark, path), set_spec="s2").collect()] == ["a&b"]
+    assert sorted(r.identifier for r in sources.read_identifiers(spark, path).collect()) == ["a&b", "c"]
+    assert [(t.token, t.completeListSize, t.cursor) for t in sources.read_page_tokens(spark, path).collect()] == [(None, 2, 1)]
+
+
+def test_basin_with_unreadable_coordinates_fails(spark, tmp_path):
+    feature = '{"features": [{"properties": {"nombre_3": "x"}, "geometry": {"type": "Polygon", "coordinates": [[["a", 1.0]]]}}]}'
+    path = put(tmp_path, "b.geojson", feature)
+    with pytest.raises(Exception, match="MALFORMED"):
+        sources.read_basins(spark, path).collect()
+
+
 def test_incomplete_harvest(spark, tmp_path):
     token = '<resumptionToken completeListSize="9" cursor="1">t</resumptionToken>'
     put(tmp_path / "one", "p.xml", PAGE.format(records=record(1), token=token))
