@@ -129,7 +129,9 @@ def repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep
             yield pa.RecordBatch.from_arrays([batch.column("d").take(row), batch.column("t").take(row), pa.array([flat[i] for i in at], pa.binary())], ["d", "t", "line"])
 
     suspects = stage(rows.mapInArrow(suspected, "d long, t long, line binary"), "suspected-lines")
-    confirmed = suspects.groupBy("line").agg(F.count_distinct("d", "t").alias("n"), F.min(F.struct("d", "t")).alias("first")).where(F.col("n") >= min_docs)
+    counted = suspects.groupBy("line").agg(F.count_distinct("d", "t").alias("n"), F.min(F.struct("d", "t")).alias("first")).where(F.col("n") >= min_docs)
+    # As a table of its own, so that a line of very many documents is split where the suspects join it.
+    confirmed = stage(counted, "repeated-lines")
     first = (F.struct("d", "t") == F.col("first")) if keep == "first" else F.lit(False)
     hits = suspects.join(confirmed, "line").select("d", "t", F.struct("line", first.alias("stays")).alias("hit"))
     return hits.groupBy("d", "t").agg(F.collect_set("hit").alias("lines"))
