@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.common import parts
-from caudal.llm.tokens import BATCH_BYTES, KEPT_PIECES, cache, cut
+from caudal.llm.tokens import BATCH_BYTES, KEPT_PIECES, cut, piece_table
 
 END_ID = 0
 
@@ -22,10 +22,6 @@ def lengths(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def _ids(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()
-
-
 def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bool = False, kept: int = KEPT_PIECES) -> DataFrame:
     """One row per piece: each document's ids (with the end id 0) cut into powers of two.
 
@@ -39,18 +35,18 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bo
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    end = _ids([END_ID])
+    end = array("I", [END_ID]).tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(tokenizer_path, "ids", _ids, kept)
+        known = piece_table(tokenizer_path, True)
         for batch in parts(batches, BATCH_BYTES):
             lists = [cut(tokenizer_path, x or "") for x in batch.column("text").to_pylist()]
-            known.learn(lists)
-            get, rows = known.__getitem__, []
-            for doc_id, pieces in zip(batch.column("doc_id").to_pylist(), lists, strict=True):
-                ids = b"".join(map(get, pieces)) + end
+            bounds, every = known.batch(lists, kept)
+            at, rows = bounds.tolist(), []
+            for doc_id, low, high in zip(batch.column("doc_id").to_pylist(), at, at[1:], strict=False):
+                ids = every[low:high].tobytes() + end
                 n, start = len(ids) // 4, 0
                 for length in lengths(n, longest):
                     piece = ids[4 * start : 4 * (start + length)]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterator
+from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from caudal.llm.common import parts
 
 #: Bytes of text encoded at once: batches are cut by bytes, not by rows.
 BATCH_BYTES = 4 << 20
-#: Distinct pieces whose encoding a Python worker keeps, at about 250 bytes each; then it starts anew.
+#: Distinct pieces whose encoding a Python worker keeps, at about 250 bytes each; the batch after starts anew.
 KEPT_PIECES = 300_000
 
 # A cut before a space or line break that follows another character is safe: no token of the byte-level
@@ -34,45 +36,68 @@ def safe_pieces(text: str) -> list[str]:
     return _PIECE.findall(text)
 
 
-class PieceCache(dict):
-    """Encodings by piece, filled by one library call for all unknown pieces of a batch."""
+class PieceTable(dict):
+    """Pieces numbered as they come, with the encoding of each: one look-up a piece, unknown ones encoded together."""
 
-    def __init__(self, path: str, keep: Callable, most: int):
-        self.most = most
+    def __init__(self, path: str, with_ids: bool):
+        self.with_ids, self.whole_texts = with_ids, path.endswith(".model")
+        self.unknown: list[str] = []
+        self.ids, self.ends = array("I"), array("q", [0])
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        if path.endswith(".model"):
+        if self.whole_texts:
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode = lambda texts: [keep(x) for x in model.encode(texts, num_threads=1)]
+            self.encode = lambda texts: model.encode(texts, num_threads=1)
         else:
             from tokenizers import Tokenizer
 
             model = Tokenizer.from_file(path)
             model.no_truncation()
             model.no_padding()
-            self.encode = lambda texts: [keep(x.ids) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+            self.encode = lambda texts: [x.ids for x in model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, lists: list[list[str]]) -> None:
-        pieces = set(chain.from_iterable(lists))
-        unknown = list(pieces.difference(self))
-        if len(self) + len(unknown) > self.most:
-            self.clear()
-            unknown = list(pieces)
-        for i in range(0, len(unknown), 20_000):
-            some = unknown[i : i + 20_000]
-            self.update(zip(some, self.encode(some), strict=True))
-
-
-_caches: dict[tuple, PieceCache] = {}
+    def __missing__(self, piece: str) -> int:
+        self.unknown.append(piece)
+        self[piece] = number = len(self)
+        return number
 
-
-def cache(path: str, kind: str, keep: Callable, most: int = KEPT_PIECES) -> PieceCache:
-    """One cache for a tokenizer file and kind of result, kept while the Python worker lives."""
-    if (path, kind) not in _caches:
-        _caches[path, kind] = PieceCache(path, keep, most)
-    _caches[path, kind].most = most
-    return _caches[path, kind]
+    def numbers(self, lists: list[list[str]], most: int) -> np.ndarray:
+        """The number of every piece of a batch.  A table of more than ``most`` pieces (or of whole texts) starts anew."""
+        if len(self) > most or self.whole_texts:
+            self.clear()
+            self.ids, self.ends = array("I"), array("q", [0])
+        found = np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+        for i in range(0, len(self.unknown), 20_000):
+            encoded = self.encode(self.unknown[i : i + 20_000])
+            if self.with_ids:
+                self.ids.extend(chain.from_iterable(encoded))
+            self.ends.extend(accumulate(map(len, encoded), initial=self.ends.pop()))
+        self.unknown.clear()
+        return found
+
+    def batch(self, lists: list[list[str]], most: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """Token bounds of the texts of a batch, given as pieces, and (``with_ids``) the ids of all in a row."""
+        found = self.numbers(lists, most)
+        ends = np.frombuffer(self.ends, dtype=np.int64)
+        sizes = np.diff(ends)[found]
+        reached = np.zeros(len(found) + 1, dtype=np.int64)
+        np.cumsum(sizes, out=reached[1:])
+        bounds = reached[np.cumsum([0, *map(len, lists)])]
+        if not self.with_ids:
+            return bounds, None
+        at = np.arange(reached[-1]) + np.repeat(ends[found] - reached[:-1], sizes)
+        return bounds, np.frombuffer(self.ids, dtype=np.uint32)[at] if len(at) else np.zeros(0, dtype=np.uint32)
+
+
+_tables: dict[tuple[str, bool], PieceTable] = {}
+
+
+def piece_table(path: str, with_ids: bool) -> PieceTable:
+    """One table for a tokenizer file, kept while the Python worker lives."""
+    if (path, with_ids) not in _tables:
+        _tables[path, with_ids] = PieceTable(path, with_ids)
+    return _tables[path, with_ids]
 
 
 def cut(path: str, text: str) -> list[str]:
@@ -91,13 +116,12 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, kept: i
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache(tokenizer_path, "count", len, kept)
+        known = piece_table(tokenizer_path, False)
         for batch in parts(batches, BATCH_BYTES):
             lists = [cut(tokenizer_path, x or "") for x in batch.column("text").to_pylist()]
-            known.learn(lists)
-            get = known.__getitem__
+            bounds, _ = known.batch(lists, kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([sum(map(get, x)) for x in lists], pa.int64()), batch.column("n_bytes")],
+                [batch.column("doc_id"), pa.array(np.diff(bounds)), batch.column("n_bytes")],
                 ["doc_id", "n_tokens", "n_bytes"],
             )
 
