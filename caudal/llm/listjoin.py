@@ -21,19 +21,29 @@ def folder(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
 
 
-def intervals(entries: DataFrame) -> DataFrame:
-    """``key, action, since, until``: what holds for a key from one dated entry to the next.
+def instants(entries: DataFrame) -> DataFrame:
+    """``key, at, action``: what is said of a key at an instant.
 
-    ``entries`` has ``key, action, day, nth``: block, allow or withdraw, from the start of the day.  Of several entries
-    on a day the one with the highest ``nth`` holds (then the first action by name), so a key has at most one row a
-    day whatever its number of entries.  Entries without key, day or action say nothing; withdrawn is no interval.
+    ``entries`` has ``key, action, day, nth``: block, allow or withdraw, from the instant ``day`` (a date: from the start
+    of the day).  Of several entries of one instant the one with the highest ``nth`` holds (then the first action by
+    name).  Entries without key, day or action say nothing.
     """
     said = entries.where("key IS NOT NULL AND day IS NOT NULL AND action IS NOT NULL")
-    daily = said.groupBy("key", "day").agg(
+    return said.groupBy("key", F.col("day").cast("timestamp").alias("at")).agg(
         F.max_by("action", F.struct(F.col("nth"), -F.ascii("action"))).alias("action")
     )
+
+
+def carried(points: DataFrame) -> DataFrame:
+    """``key, action, since, first, until``: what holds for a key at the start of the days from ``first`` to before ``until``.
+
+    It is the last entry of an earlier day, so a key has at most one row a day whatever its number of entries.  Withdrawn
+    is no row.
+    """
+    daily = points.groupBy("key", F.to_date("at").alias("day")).agg(F.max_by(F.struct("action", "at"), "at").alias("entry"))
     after = F.lead("day").over(Window.partitionBy("key").orderBy("day"))
-    spans = daily.select("key", "action", F.col("day").alias("since"), F.coalesce(after, F.lit(FOREVER).cast("date")).alias("until"))
+    until = F.coalesce(F.date_add(after, 1), F.lit(FOREVER).cast("date"))
+    spans = daily.select("key", "entry.action", F.col("entry.at").alias("since"), F.date_add("day", 1).alias("first"), until.alias("until"))
     return spans.where("action <> 'withdraw'")
 
 
@@ -41,31 +51,44 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
     """All columns of the captures, with ``blocked``, ``list_key`` and ``list_since``: the list as it was when fetched.
 
     Keys are a host or domain (it covers the hosts below it) or ``host/folder``.  Of the active entries of a capture the
-    longest key decides; without any the capture is not blocked and the key is NULL.
-    Captures fold to distinct (host, folder, day) before the as-of join, so a hot site is judged once a day; intervals
-    meet days by month, so a long history is not scanned for each day.  The verdicts then join the captures.
+    longest key decides; without any the capture is not blocked and the key is NULL.  An entry holds from its own instant
+    (see :func:`instants`) to the key's next one; ``list_since`` is that instant.
+    Captures fold to distinct (host, folder, instant) before the as-of join.  Keys meet entries by day: the captures and
+    entries of a key and day are gone through once in order of time, from what held at the start of the day, so a hot
+    site is spread over its days and no capture meets every entry.  What held at the start meets days by month, so a
+    long history is not scanned for each day.  The verdicts then join the captures.
     A NULL or unreadable URL or time matches no entry; repeated captures each keep a row; columns that have the
     name of a result are kept and the result gets an underscore; empty tables give no or unblocked rows.
     """
     names = {c: free_name(captures.columns, c) for c in ("blocked", "list_key", "list_since")}
-    h, p, day = (free_name([*captures.columns, *names.values()], c) for c in ("site_host", "site_folder", "site_day"))
-    placed = captures.withColumns({h: host(F.col(url)), p: folder(F.col(url)), day: F.to_date(F.col(fetched))})
-    sites = placed.where((F.col(h) != "") & F.col(day).isNotNull()).select(F.col(h).alias("h"), F.col(p).alias("p"), F.col(day).alias("on")).distinct()
+    h, p, time = (free_name([*captures.columns, *names.values()], c) for c in ("site_host", "site_folder", "site_time"))
+    placed = captures.withColumns({h: host(F.col(url)), p: folder(F.col(url)), time: F.col(fetched).cast("timestamp")})
+    sites = placed.where((F.col(h) != "") & F.col(time).isNotNull()).select(F.col(h).alias("h"), F.col(p).alias("p"), F.col(time).alias("at")).distinct()
     labels = F.split("h", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     keys = F.when(F.col("p") != "", F.concat(suffixes, F.array(F.concat_ws("/", "h", "p")))).otherwise(suffixes)
-    asked = sites.select("h", "p", "on", F.explode(keys).alias("key"))
+    asked = sites.select("h", "p", "at", F.to_date("at").alias("on"), F.explode(keys).alias("key"))
     days = asked.select("key", "on", F.trunc("on", "month").alias("month")).distinct()
+    points = instants(entries)
     # Open ends reach as far as the captures do.
-    last = sites.agg(F.max("on").alias("last"))
-    held = intervals(entries).join(F.broadcast(last), F.col("since") <= F.col("last"))
-    months = F.explode(F.sequence(F.trunc("since", "month"), F.trunc(F.least(F.date_sub("until", 1), "last"), "month"), F.expr("INTERVAL 1 MONTH")))
-    by_month = held.select("key", "action", "since", "until", months.alias("month"))
-    active = days.join(by_month, ["key", "month"]).where("since <= on AND on < until").select("key", "on", "action", "since")
-    longest = F.struct(F.length("key").alias("n"), "key", "action", "since")
-    verdicts = asked.join(active, ["key", "on"]).groupBy("h", "p", "on").agg(F.max(longest).alias("one"))
-    verdicts = verdicts.select(F.col("h").alias(h), F.col("p").alias(p), F.col("on").alias(day), "one")
-    judged = placed.join(verdicts, [h, p, day], "left")
+    last = sites.agg(F.to_date(F.max("at")).alias("last"))
+    held = carried(points).join(F.broadcast(last), F.col("first") <= F.col("last"))
+    months = F.explode(F.sequence(F.trunc("first", "month"), F.trunc(F.least(F.date_sub("until", 1), "last"), "month"), F.expr("INTERVAL 1 MONTH")))
+    by_month = held.select("key", "action", "since", "first", "until", months.alias("month"))
+    opened = days.join(by_month, ["key", "month"]).where("first <= on AND on < until")
+    # Of one instant: what the day began with, then the entry, then the captures.
+    entry, nobody = F.struct("action", "since"), F.lit(None).cast("string")
+    rows = (
+        opened.select("key", "on", F.col("on").cast("timestamp").alias("at"), F.lit(0).alias("turn"), entry.alias("entry"), nobody.alias("h"), nobody.alias("p"))
+        .union(points.withColumn("since", F.col("at")).select("key", F.to_date("at"), "at", F.lit(1), entry, nobody, nobody))
+        .union(asked.select("key", "on", "at", F.lit(2), F.lit(None).cast("struct<action:string,since:timestamp>"), "h", "p"))
+    )
+    so_far = Window.partitionBy("key", "on").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    known = rows.withColumn("entry", F.last("entry", ignorenulls=True).over(so_far)).where("turn = 2 AND entry.action <> 'withdraw'")
+    longest = F.struct(F.length("key").alias("n"), "key", F.col("entry.action").alias("action"), F.col("entry.since").alias("since"))
+    verdicts = known.groupBy("h", "p", "at").agg(F.max(longest).alias("one"))
+    verdicts = verdicts.select(F.col("h").alias(h), F.col("p").alias(p), F.col("at").alias(time), "one")
+    judged = placed.join(verdicts, [h, p, time], "left")
     one = judged["one"]
     return judged.select(
         *[F.col(c) for c in captures.columns],

@@ -94,9 +94,8 @@ FROM capture c LEFT JOIN verdict v ON v.host = c.host AND v.folder = c.folder AN
 """
 
 
-@_query("op4_temporal_lists", _OP4_SQL)
-def op4_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operator 4: every page's capture against the list entries active when it was fetched.
+def _op4_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Captures, and the entries at their instant.
 
     The tables hold no list: each event about a page (``user_id`` names it) is a dated entry for the page's site,
     and a page was fetched at a minute of the same month that follows from its number.
@@ -111,12 +110,58 @@ def op4_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     action = F.when(kind == "signup", "withdraw").when(kind == "purchase", "allow").otherwise("block")
     entries = events.join(pages, F.col("user_id") == F.col("page_id")).select(
-        key.alias("key"), action.alias("action"), F.to_date("ts").alias("day"), F.struct("ts", "event_id").alias("nth")
+        key.alias("key"), action.alias("action"), F.col("ts").cast("timestamp").alias("day"), F.struct("ts", "event_id").alias("nth")
     )
     minute = F.make_dt_interval(mins=(F.col("page_id") * 37 % 43200).cast("int"))
-    captures = pages.withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp") + minute)
-    judged = listjoin.judge(captures, entries)
-    return judged.select("page_id", "url", F.to_date("fetched_at").alias("fetched"), "blocked", "list_key", "list_since")
+    return pages.withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp") + minute), entries
+
+
+@_query("op4_temporal_lists", _OP4_SQL)
+def op4_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 by whole days, as its SQL has it: the last entry of a key and day holds for all captures of that day."""
+    captures, entries = _op4_tables(spark, sf_dir)
+    judged = listjoin.judge(captures.withColumn("fetched", F.to_date("fetched_at")), entries.withColumn("day", F.to_date("day")), fetched="fetched")
+    return judged.select("page_id", "url", "fetched", "blocked", "list_key", F.to_date("list_since").alias("list_since"))
+
+
+_OP4_FETCH_SQL = r"""
+WITH entry AS (
+  SELECT e.event_id, e.ts, e.event_type,
+    CASE e.event_type WHEN 'signup' THEN 'withdraw' WHEN 'purchase' THEN 'allow' ELSE 'block' END AS action,
+    lower(regexp_extract(p.url, '://([^/:?#]+)', 1)) AS host, regexp_extract(p.url, '://[^/?#]*/([^/?#]+)', 1) AS folder
+  FROM events e JOIN pages p ON p.page_id = e.user_id
+), keyed AS (
+  SELECT event_id, ts, action, CASE
+    WHEN event_type IN ('click', 'view', 'signup') AND folder <> '' THEN host || '/' || folder
+    WHEN event_type = 'purchase' THEN host
+    ELSE regexp_replace(host, '^(www|m|blog)\.', '') END AS key
+  FROM entry
+), capture AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + INTERVAL 1 MINUTE * CAST(page_id * 37 % 43200 AS INTEGER) AS fetched_at,
+    lower(regexp_extract(url, '://([^/:?#]+)', 1)) AS host, regexp_extract(url, '://[^/?#]*/([^/?#]+)', 1) AS folder
+  FROM pages
+), part AS (SELECT DISTINCT host, folder, fetched_at, string_split(host, '.') AS labels FROM capture),
+asked AS (
+  SELECT host, folder, fetched_at, unnest([array_to_string(labels[i:], '.') FOR i IN range(1, len(labels) + 1)]) AS key FROM part
+  UNION ALL SELECT host, folder, fetched_at, host || '/' || folder FROM part WHERE folder <> ''
+), dated AS (
+  SELECT a.host, a.folder, a.fetched_at, a.key, arg_max(k.action, (k.ts, k.event_id)) AS action, max(k.ts) AS since
+  FROM asked a JOIN keyed k ON k.key = a.key AND k.ts <= a.fetched_at GROUP BY a.host, a.folder, a.fetched_at, a.key
+), verdict AS (
+  SELECT host, folder, fetched_at, arg_max(action, (length(key), key)) AS action, arg_max(key, (length(key), key)) AS list_key,
+    arg_max(since, (length(key), key)) AS list_since
+  FROM dated WHERE action <> 'withdraw' GROUP BY host, folder, fetched_at
+)
+SELECT c.page_id, c.url, c.fetched_at, coalesce(v.action = 'block', false) AS blocked, v.list_key, v.list_since
+FROM capture c LEFT JOIN verdict v ON v.host = c.host AND v.folder = c.folder AND v.fetched_at = c.fetched_at
+"""
+
+
+@_query("op4_lists_at_fetch", _OP4_FETCH_SQL)
+def op4_lists_at_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: every page's capture against the list entries active at the minute it was fetched."""
+    judged = listjoin.judge(*_op4_tables(spark, sf_dir))
+    return judged.select("page_id", "url", "fetched_at", "blocked", "list_key", "list_since")
 
 
 @_query("op5_token_counts")

@@ -324,6 +324,15 @@ def test_lists_as_of(llm):
     assert none.count() == len(captures) and none.where("blocked_").count() == 0
 
 
+def test_lists_at_the_minute_of_the_fetch(llm):
+    entries = [("a.com", "block", "2024-01-05 18:00", 1), ("b.com", "block", "2024-01-05 08:00", 1), ("b.com", "withdraw", "2024-01-05 20:00", 1), ("c.com", "block", "2023-11-30 23:59", 1), ("c.com", "allow", "2024-01-05 12:00", 1), ("c.com", "block", "2024-01-05 12:00", 2)]
+    wanted = {("a.com", "03:00"): (False, None), ("a.com", "18:00"): (True, "18:00"), ("b.com", "07:59"): (False, None), ("b.com", "12:00"): (True, "08:00"), ("b.com", "20:00"): (False, None), ("c.com", "00:00"): (True, "23:59"), ("c.com", "13:00"): (True, "12:00")}
+    rows = llm.createDataFrame([(f"http://{h}/", f"2024-01-05 {t}") for h, t in wanted], "url string, fetched_at string").withColumn("fetched_at", listjoin.F.to_timestamp("fetched_at"))
+    said = llm.createDataFrame(entries, "key string, action string, day string, nth int").withColumn("day", listjoin.F.to_timestamp("day"))
+    found = listjoin.judge(rows, said).selectExpr("parse_url(url, 'HOST')", "date_format(fetched_at, 'HH:mm')", "blocked", "date_format(list_since, 'HH:mm')")
+    assert {(r[0], r[1]): (r[2], r[3]) for r in found.collect()} == wanted
+
+
 def test_top_k(llm, monkeypatch):
     rng = np.random.default_rng(5)
     vectors = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(0, 400)]
