@@ -151,9 +151,10 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``d, t, doc_id, fingerprint, component_id``: documents joined through fingerprints at most ``radius`` bits apart.
+    """``d, t, doc_id, fingerprint, component_id, root``: documents joined through fingerprints at most ``radius`` bits apart.
 
-    ``component_id`` is the smallest id reachable, the document's own included.  Exact copies share a
+    ``component_id`` is the smallest id reachable, the document's own included.  Components may share it (NULL ids, or
+    several texts under one id); ``root``, the smallest fingerprint of the component, tells them apart.  Exact copies share a
     fingerprint and are folded before any comparison.  No words or NULL text: fingerprint zero, linked like
     any other.  Fewer words than a shingle: the whole sequence is the one shingle.  NULL ids are never the
     smallest unless the component has no other (then the result is NULL).  Repeated rows keep one result each; other
@@ -166,22 +167,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
         "fingerprint", "low", F.coalesce("root", "fingerprint").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fingerprint", "component_id")
-    return marked.join(named, "fingerprint").select("d", "t", "doc_id", "fingerprint", "component_id")
+    named = rooted.join(lowest, "root").select("fingerprint", "component_id", "root")
+    return marked.join(named, "fingerprint").select("d", "t", "doc_id", "fingerprint", "component_id", "root")
 
 
-def representatives(found: DataFrame) -> DataFrame:
-    """``d, t``: the one document of each component that stays, the smallest id (then text hash)."""
-    return found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "d", "t")).alias("one")).select("one.d", "one.t")
+def representatives(found: DataFrame, by: str = "component_id") -> DataFrame:
+    """``d, t``: the one document of each group that stays, the smallest id (then text hash); see :func:`keep_one` for ``by``."""
+    return found.groupBy(by).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "d", "t")).alias("one")).select("one.d", "one.t")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The documents, all columns as they are, with one row of each component (see :func:`near_duplicates`).
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, by: str = "component_id") -> DataFrame:
+    """The documents, all columns as they are, with one row of each group (see :func:`near_duplicates`).
 
+    Groups are the components with ``by="root"``.  With ``by="component_id"`` components that share their smallest id,
+    or have none, count as one, and unrelated documents go.
     The one of smallest id (NULL last), then text hash, stays; of rows equal in both, the first by the other columns.
     """
     key = row_key(docs)
-    one = representatives(near_duplicates(docs, shingle, radius)).select(*[F.col(c).alias(n) for c, n in zip("dt", key, strict=True)])
+    one = representatives(near_duplicates(docs, shingle, radius), by).select(*[F.col(c).alias(n) for c, n in zip("dt", key, strict=True)])
     nth = free_name([*docs.columns, *key], "nth")
     order = [F.col(f.name) for f in docs.schema.fields if f.dataType.typeName() != "map"]
     same = Window.partitionBy(*key).orderBy(*order)

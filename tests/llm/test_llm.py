@@ -113,6 +113,16 @@ def test_simhash_edges(llm):
     assert simhash.near_duplicates(frame(llm, []), 3, 3).count() == 0
 
 
+def test_unrelated_documents_without_an_id_of_their_own_stay(llm):
+    random.seed(11)
+    text = lambda: " ".join(f"w{random.randrange(10**6)}" for _ in range(40))
+    copied = text()
+    rows = [(None, text()), (None, text()), (None, copied), (None, copied), (7, text()), (7, text()), (8, copied), (9, "Only one")]
+    left = corpus_pipeline.near_duplicate_stage(llm, frame(llm, rows), "").collect()
+    wanted = [r for r in rows if r[1] != copied] + [(8, copied)]
+    assert collections.Counter((r.doc_id, r.text) for r in left) == collections.Counter(wanted)
+
+
 def test_links_of_a_large_bucket(llm, monkeypatch):
     random.seed(9)
     centre = random.getrandbits(64)
