@@ -14,14 +14,15 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from caudal.llm.common import free_name, parts
 from caudal.llm.rolling import mix
 
-#: Bound of the training sample: documents of each language, and characters of one of them.
+#: Bound of the training sample: documents of each language, characters of one of them, and documents in all.
 SAMPLE_DOCS = 300
 SAMPLE_CHARS = 20_000
-#: Languages learned, the most frequent first.
-MOST_LANGUAGES = 64
+SAMPLE_TOTAL = 64 * SAMPLE_DOCS
 FEATURE_BITS = 17
 UNKNOWN = "und"
+#: Text labelled at once, divided among the labels beyond ``FEW_LABELS``: a word holds a row of numbers by label.
 BATCH_BYTES = 2 << 20
+FEW_LABELS = 4
 
 
 def _kinds() -> np.ndarray:
@@ -118,6 +119,9 @@ class Model:
     moves: np.ndarray
     start: np.ndarray
 
+    def batch_bytes(self) -> int:
+        return BATCH_BYTES * FEW_LABELS // max(FEW_LABELS, len(self.labels))
+
     def scores(self, feature: np.ndarray, word: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Emission scores (words x labels): the sum of the weights of a word's features."""
         if not len(which):
@@ -137,7 +141,7 @@ class Model:
             return scores, scores
         emit = np.exp(scores - scores.max(axis=1, keepdims=True)).astype(np.float64)
         fresh = np.r_[True, text[1:] != text[:-1]]
-        size = max(8, int((n / 6) ** 0.5))  # words in a block; blocks are joined exactly
+        size = max(8, k, int((n / 6) ** 0.5))  # words in a block; blocks are joined exactly
         pad = -n % size
         blocks = (n + pad) // size
         # Step i of all blocks lies together: emit[i, block, label].
@@ -237,10 +241,10 @@ def train(rows: list[tuple[str, str]], rounds: int = 4, batch: int = 150, rate:
             # Expected pairs of neighbours: forward probability x move x what the second word's posterior adds.
             step = np.exp(model.moves)
             before = so_far[:-1][inner]
-            pair = before[:, :, None] * step * (found[1:][inner] / (before @ step))[:, None, :]
+            pairs = step * (before.T @ (found[1:][inner] / (before @ step)))
             real = np.zeros((k, k))
             np.add.at(real, (truth[:-1][inner], truth[1:][inner]), 1)
-            moves = (real - pair.sum(axis=0)) / max(1, inner.sum())
+            moves = (real - pairs) / max(1, inner.sum())
             first = np.r_[True, ~inner]
             start = gap[first].mean(axis=0)
             gradient -= decay * model.weights[used]
@@ -253,20 +257,26 @@ def train(rows: list[tuple[str, str]], rounds: int = 4, batch: int = 150, rate:
     return model
 
 
-def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, longest: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
+def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, longest: int = SAMPLE_CHARS, total: int = SAMPLE_TOTAL) -> list[tuple[str, str]]:
     """A bounded sample of labelled rows: about ``per_language`` documents of each language, by a hash of id and text.
 
-    Rows without a language or text and texts over ``longest`` characters are not sampled.  At most
-    ``MOST_LANGUAGES`` languages (the most frequent) are learned, which bounds what comes to the driver.
+    Every language is sampled.  Of so many that ``per_language`` of each are more than ``total``, each gives an equal share,
+    at least one document.  A text over ``longest`` characters gives a span of that length, its place told by the
+    hash.  Rows without a language or text are not sampled.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= longest)).select("doc_id", "text", "lang")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    scale = 1 << 20
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(scale, 1 + 3 * per_language * scale // (2 * r["count"])))]) if counts else None
-    if share is None:
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
         return []
+    per_language = max(1, min(per_language, total // len(counts)))
+    scale = 1 << 20
+    # So many are drawn that hardly any language comes out short, however small its share.
+    drawn = max(3 * per_language // 2, per_language + 20)
+    shares = docs.sparkSession.createDataFrame([(x, min(scale, 1 + drawn * scale // n)) for x, n in counts.items()], "lang string, share long")
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale))
-    rows = known.where(dealt < share[F.col("lang")]).select("lang", "text", F.xxhash64("text", "doc_id").alias("h")).collect()
+    h, size = F.xxhash64("text", "doc_id"), F.length("text")
+    span = F.when(size <= longest, F.col("text")).otherwise(F.col("text").substr((F.pmod(h, size - longest + 1) + 1).cast("int"), F.lit(longest)))
+    rows = known.join(F.broadcast(shares), "lang").where(dealt < F.col("share")).select("lang", span.alias("text"), h.alias("h")).collect()
     held: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
         held.setdefault(r["lang"], []).append((r["h"], r["text"]))
@@ -290,7 +300,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     names = [*docs.columns, pred, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, BATCH_BYTES):
+        for batch in parts(batches, shared.value.batch_bytes()):
             found, share = shared.value.label([x or "" for x in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(share, pa.float64())], names)
 
@@ -302,7 +312,7 @@ def only_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, BATCH_BYTES):
+        for batch in parts(batches, shared.value.batch_bytes()):
             found, share = shared.value.label([x or "" for x in batch.column("text").to_pylist()])
             yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(found, share, strict=True)]))
 

@@ -272,6 +272,24 @@ def test_language_edges(llm):
     assert language.fit(frame(llm, [])).label(["abc"])[0] == ["und"]
 
 
+def test_every_language_is_learned(llm):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for i in range(67):
+        # Words of one pair of letters; the last two languages occur in long texts only.
+        word, times = letters[i % 26] + letters[(i // 26 + 7 * i + 3) % 26], 15_000 if i > 64 else 30
+        rows += [(10 * i + j, f"{word * 2} {word * 3} " * times, f"x{i:02}") for j in range(1 if i > 64 else 3)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = language.sample(docs)
+    assert {lang for _, lang in taken} == {lang for _, _, lang in rows}
+    assert max(len(text) for text, _ in taken) == language.SAMPLE_CHARS
+    few = language.sample(docs, total=67)
+    assert len(few) == len({lang for _, lang in few}) == 67
+    model = language.train([(text[:2_000], lang) for text, lang in taken])
+    last = [(text[:200], lang) for _, text, lang in rows if lang > "x60"]
+    assert model.label([text for text, _ in last])[0] == [lang for _, lang in last]
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(3)
     model = language.Model(["a", "b", "c"], np.zeros((1, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
