@@ -25,15 +25,14 @@ _NONE = -(2**62)
 def scaled(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     """``vec_id, v``: components times ``scale``, rounded down to integers.
 
-    Rows without an id or vector, and vectors holding NULL or non-finite components, take no part.  An id that stands
-    more than once keeps its smallest vector.  Shorter vectors are filled up with zeros.
+    Rows without an id or vector, and vectors holding NULL or non-finite components, take no part.  Rows equal in id and
+    vector count as one; different vectors under one id each stay.  Shorter vectors are filled up with zeros.
     """
     x = F.transform("embedding", lambda c: c.cast("double"))
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
     v = F.transform(x, lambda c: F.floor(c * scale).cast("long"))
-    one = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
-    return one
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).distinct()
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -112,8 +111,9 @@ def _table(out: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.Table:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LISTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k highest inner products, ties to the smaller id.
 
-    Both frames have ``vec_id, v`` as :func:`scaled` gives them; a query's own id is no candidate.  A score is the sum of
-    one partial score per list (slice of the components).
+    Both frames have ``vec_id, v`` as :func:`scaled` gives them; a query's own id is no candidate.  Several vectors under
+    one id are candidates each by itself; as queries they share one ranking.  A score is the sum of one partial score per
+    list (slice of the components).
     1. Each list of a cell names its highest rows; the cell sends the k best totals of these and each list's lowest score.
        The k-th best total of all cells is safe: k rows reach it.
     2. That total, counted from the lowest scores and shared evenly over the lists, is the cutoff: a row below it in every
@@ -125,7 +125,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
     size = max([0, *(r[0] or 0 for r in (vectors.agg(F.max(F.size("v"))).first(), queries.agg(F.max(F.size("v"))).first()))])
     whole = F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(size) - F.size("v"))).alias("v")
     same = Window.partitionBy("v").orderBy("vec_id")
-    rows = stage(vectors.select("vec_id", whole).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth"), "vectors")
+    rows = stage(vectors.select("vec_id", whole).withColumn("nth", F.dense_rank().over(same)).where(F.col("nth") <= k + 1).drop("nth"), "vectors")
     asked = stage(queries.select(F.col("vec_id").alias("query_id"), whole), "queries")
     n_q, n_r = (max(1, math.ceil(f.count() / block)) for f, block in ((asked, QUERY_BLOCK), (rows, ROW_BLOCK)))
     if not size:

@@ -381,6 +381,18 @@ def test_top_k(llm, monkeypatch):
     assert topk.top_k(none, none, 10).count() == 0
 
 
+def test_several_vectors_under_one_id(llm, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = [(i % 150, rng.normal(size=6).tolist()) for i in range(400)]
+    llm.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2).write.parquet(str(tmp_path / "embeddings.parquet"))
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    message, found, _ = difference(con, llm, str(tmp_path), QUERIES["op8_threshold_topk"], SQL["op8_threshold_topk"])
+    assert message is None and found == 20
+
+
 @pytest.mark.parametrize("name", list(SQL))
 def test_sql(llm, sf, name):
     message, rows, _ = difference(connect(sf), llm, sf, QUERIES[name], SQL[name])
