@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import blocks, containment, language, lines, listjoin, packing, simhash, tokens, topk, windows
+from caudal.llm import audit, blocks, containment, language, lines, listjoin, mixture, packing, runs, simhash, tokens, topk, windows
 from caudal.llm.common import hex64, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,3 +246,92 @@ GROUP BY doc_id, item_id HAVING count(*) >= ceil(0.8 * any_value(n) - 1e-9)
 def op10_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: benchmark items of which a document holds four fifths of the five-word shingles."""
     return containment.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: stretches of words that repeat with a period, three times or more."""
+    return runs.digest_columns(runs.find_runs(runs.with_planted_runs(table(spark, sf_dir, "documents")), 24, 3))
+
+
+_OP12_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), said AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END) | (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+    | (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END)
+    | (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    | (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END) AS failed
+  FROM doc LEFT JOIN said USING (doc_id)
+), tally AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM judged GROUP BY part, failed
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+ordered AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE b.x <> a.x AND c.x NOT IN (a.x, b.x) AND d.x NOT IN (a.x, b.x, c.x) AND e.x NOT IN (a.x, b.x, c.x, d.x)
+), step AS (
+  SELECT filter_order, s.step, l.x, l.bit, (
+    SELECT coalesce(sum(p.bit), 0) FROM letter p WHERE position(p.x IN filter_order) < s.step
+  )::INTEGER AS before
+  FROM ordered, (SELECT unnest(range(1, 6)) AS step) s JOIN letter l ON substr(filter_order, s.step, 1) = l.x
+), counted AS (
+  SELECT part, filter_order, step, x,
+    sum(n) FILTER (failed & (before | bit) = 0) AS kept, sum(n) FILTER (failed & before = 0 AND failed & bit <> 0) AS removed,
+    sum(n) FILTER (failed & before <> 0 AND failed & bit <> 0) AS redundant, sum(n) FILTER (failed = bit) AS unique_fails,
+    sum(good) FILTER (failed & before = 0 AND failed & bit <> 0) AS good_lost,
+    sum(toxic) FILTER (failed & before = 0 AND failed & bit <> 0) AS toxic_lost
+  FROM tally, step GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@_query("op12_filter_audit", _OP12_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: what five filters remove in each order and language, alone and together."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_OP13_SQL = r"""
+WITH doc AS (
+  SELECT source, doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 15) AS key
+  FROM documents
+), of AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM doc GROUP BY source
+), level AS (
+  SELECT *, row_number() OVER filled AS nth, CAST(sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER before, 0) AS DOUBLE)
+    / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM of WINDOW filled AS (ORDER BY source_size / weight, source),
+    before AS (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), chosen AS (SELECT min_by(level, nth) AS level FROM level WHERE 3 * source_size >= level * weight),
+aim AS (
+  SELECT source, source_size, least(coalesce(c.level, 'inf'::DOUBLE) * weight, CAST(3 * source_size AS DOUBLE)) AS target FROM of, chosen c
+), grouped AS (
+  SELECT *, (row_number() OVER (PARTITION BY source, doc_id, size, key) - 1) // 1024 AS nth FROM doc
+), placed AS (
+  SELECT *, CASE WHEN nth = 0 THEN key ELSE substr(md5(key || '/' || nth), 1, 15) END AS place FROM grouped
+), summed AS (
+  SELECT p.doc_id, p.size, a.source_size, a.target, CAST(floor(a.target) AS BIGINT) AS budget, CAST(coalesce(sum(p.size) OVER (
+    PARTITION BY p.source ORDER BY p.place, p.doc_id NULLS FIRST, p.size, p.key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+  ), 0) AS BIGINT) AS start
+  FROM placed p JOIN aim a ON a.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
+  budget // source_size * size + greatest(0, least(size, budget % source_size - start)) END AS taken
+FROM summed
+"""
+
+
+@_query("op13_mix_sources", _OP13_SQL)
+def op13_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: sources mixed by weight, each cut or repeated to its exact budget."""
+    return mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
