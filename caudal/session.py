@@ -21,9 +21,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Building a plan from Python should not record a stack trace per column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Deduplication state of the ingest may outgrow the heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

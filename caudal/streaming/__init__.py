@@ -1,5 +1,10 @@
 """Incremental ingest with Structured Streaming."""
 
-from caudal.streaming.ingest import ingest_pages, ingest_records, page_stream, record_stream
+from caudal.streaming.ingest import (
+    append_batch, commits, ingest_pages, ingest_records, known_identities, lay_out, page_stream, read_ingested, record_stream,
+)
 
-__all__ = ["ingest_pages", "ingest_records", "page_stream", "record_stream"]
+__all__ = [
+    "append_batch", "commits", "ingest_pages", "ingest_records", "known_identities", "lay_out", "page_stream", 
+    "read_ingested", "record_stream",
+]

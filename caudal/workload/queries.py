@@ -18,7 +18,7 @@ from caudal.plans import (
 from caudal import sinks, sources
 from caudal.session import scratch_dir
 from caudal.sources.catalogue_b import conform_observations
-from caudal.streaming import ingest_pages, ingest_records
+from caudal.streaming import ingest_pages, ingest_records, read_ingested
 from caudal.workload import views as V
 from caudal.workload.registry import query
 from caudal.workload.sql import (
@@ -996,29 +996,25 @@ def csv_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_ingest", with_(SERIES_B) + "SELECT id, var AS var_id, n AS count FROM eb")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """ST-01: two overlapping harvests ingested in two runs, every series once."""
+    """ST-01: two landings with overlapping harvests share a table, one run again without its checkpoint; every series once."""
     rows = V.series_b(spark, sf)
-    landing = V.land_json_pages(rows, F.floor(F.col("id") / 1000), "rows", "stream")
-    table, checkpoint = scratch_dir(spark, "stream-table"), scratch_dir(spark, "stream-checkpoint")
-
-    def run() -> None:
+    first = V.land_json_pages(rows.where("id % 10 < 6"), F.floor(F.col("id") / 1000), "rows", "stream")
+    second = V.land_json_pages(rows.where("id % 10 > 2"), F.floor(F.col("id") / 700), "rows", "stream")
+    table = scratch_dir(spark, "stream-table")
+    for landing in (first, second, first):
         ingest_pages(
-            spark, landing, table, checkpoint, S.SERIES_B_PAGE, "rows", ["id"], multi_line=False
+            spark, landing, table, scratch_dir(spark, "stream-checkpoint"), S.SERIES_B_PAGE, "rows", ["id"], multi_line=False
         ).awaitTermination()
-
-    run()
-    # The second harvest serves all series again on pages of another size.
-    V.land_json_pages(rows, F.floor(F.col("id") / 700), "rows", path=landing)
-    run()
-    return spark.read.parquet(table).select(
+    return read_ingested(spark, table, S.SERIES_B).select(
         "id", F.col("var.id").alias("var_id"), F.col("date_range.count").alias("count")
     )
 
 
 @query("stream_records", """
-SELECT 'id-' || c_custkey AS identifier, lower(c_mktsegment) AS "setSpec" FROM customer""")
+SELECT CASE WHEN c_custkey % 11 <> 0 OR c_custkey % 9 = 0 THEN 'id-' || c_custkey END AS identifier, lower(c_mktsegment) AS "setSpec" FROM customer""")
 def stream_records(spark: SparkSession, sf: str) -> DataFrame:
-    """ST-01 on record pages."""
-    table, checkpoint = scratch_dir(spark, "records-table"), scratch_dir(spark, "records-checkpoint")
-    ingest_records(spark, V.land_records(spark, sf), table, checkpoint).awaitTermination()
-    return spark.read.parquet(table).select("identifier", "setSpec")
+    """ST-01 on record pages; records without an identifier stay, and stay single when the harvest lands again."""
+    table, landing = scratch_dir(spark, "records-table"), V.land_records(spark, sf, nameless=True)
+    for _ in range(2):
+        ingest_records(spark, landing, table, scratch_dir(spark, "records-checkpoint")).awaitTermination()
+    return read_ingested(spark, table, "identifier string, setSpec string").select("identifier", "setSpec")

@@ -384,11 +384,12 @@ def land_semantic(spark: SparkSession, sf: str) -> str:
 OAI = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/" xmlns:p="http://www.openarchives.org/OAI/2.0/">'
 
 
-def land_records(spark: SparkSession, sf: str, missing: int | None = None) -> str:
+def land_records(spark: SparkSession, sf: str, missing: int | None = None, nameless: bool = False) -> str:
     """Record pages from customers, without the ``missing`` one.
 
     Every ninth record has no metadata, every seventh a record element of another kind inside it, every fourth two
-    sets, and every fifth stands under a namespace prefix.
+    sets, and every fifth stands under a namespace prefix.  ``nameless`` takes the identifier from every eleventh that
+    has metadata.
     """
     customers = table(spark, sf, "customer")
     k = F.col("c_custkey")
@@ -400,8 +401,11 @@ def land_records(spark: SparkSession, sf: str, missing: int | None = None) -> st
 
     day = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")), "yyyy-MM-dd")
     second = F.when(k % 4 == 0, element("setSpec", F.lit("fourth"))).otherwise(F.lit(""))
+    identifier = element("identifier", F.concat(F.lit("id-"), k.cast("string")))
+    if nameless:
+        identifier = F.when((k % 11 == 0) & (k % 9 != 0), F.lit("")).otherwise(identifier)
     header = element("header", F.concat(
-        element("identifier", F.concat(F.lit("id-"), k.cast("string"))), element("datestamp", day),
+        identifier, element("datestamp", day),
         element("setSpec", F.lower("c_mktsegment")), second,
     ))
     inner = F.when(k % 7 == 0, F.lit('<record xmlns="urn:x"><name/></record>')).otherwise(F.lit(""))
