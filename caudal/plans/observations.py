@@ -14,16 +14,14 @@ def observation_statistics(
 ) -> DataFrame:
     """(series_id, date_range, monthlyStats, percentiles), the nested shape series rows carry."""
     wanted = D.DEFAULT_PERCENTILES if percentiles is None else percentiles
-    ranges = statistics.date_ranges(observations).select(
-        "series_id", F.struct("timestart", "timeend", "count").alias("date_range")
-    )
+    spans = statistics.date_ranges(observations, F.count("valor").alias("_n"))
+    ranges = spans.select("series_id", F.struct("timestart", "timeend", "count").alias("date_range"))
     if approximate:
-        monthly = statistics.monthly_statistics(observations, True, **limits)
-        overall = statistics.series_percentiles(observations, wanted, True, **limits)
-    else:
-        monthly, overall = statistics.monthly_and_series_quantiles(observations, wanted, **limits)
-    monthly, overall = statistics.nest_monthly(monthly), statistics.nest_percentiles(overall)
-    return ranges.join(monthly, "series_id", "left").join(overall, "series_id", "left")
+        monthly = statistics.nest_monthly(statistics.monthly_statistics(observations, True, **limits))
+        overall = statistics.nest_percentiles(statistics.series_percentiles(observations, wanted, True, **limits))
+        return ranges.join(monthly, "series_id", "left").join(overall, "series_id", "left")
+    # The ranges' pass also tells which series are large.
+    return ranges.join(statistics.nested_quantiles(observations, spans, wanted, **limits), "series_id", "left")
 
 
 def with_observation_statistics(series: DataFrame, statistics_rows: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ A table is a folder of
   streams and no new checkpoint ever write to the same folder.
 * ``_keys/ingest_bucket=B``: a digest of every key with the batch that brought it, by hash bucket.  A batch
   looks only into the buckets of its own keys; no batch reads the rows of the table.  ``_layout`` keeps the number of buckets.
+* ``_sketches/ingest_stream=S/ingest_batch=N`` (observations): quantile sketches of the batch's new rows.
 * ``_commits/ingest_stream=S/ingest_batch=N``: batches that are complete, written last.
 
 A batch that fails leaves at most rows and digests without a commit: nobody takes them for known, and the batch that runs
@@ -21,12 +22,16 @@ Streams into one table run one after another; of two that bring the same new key
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from caudal import schemas as S
+from caudal.operators.statistics import merge_sketches, quantile_sketches, with_month
+
 #: Partition folders of the table: the stream and its batch that wrote a row.
 STREAM, BATCH = "ingest_stream", "ingest_batch"
 #: Partition folder of the key index, and their number in a new table unless another is asked for: enough that
@@ -65,6 +70,16 @@ def record_stream(spark: SparkSession, landing: str, files_per_batch: int | None
     return parse_record_text(reader.text(landing, wholetext=True))
 
 
+def observation_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming (series_id, timestart, timeend, valor) of landed observations, times rounded to the minute."""
+    from caudal.sources.catalogue_b import conform_observations
+
+    reader = spark.readStream.schema(S.OBSERVATION_JSON).option("mode", "FAILFAST").option("maxFileAge", ANY_AGE)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return conform_observations(reader.json(landing))
+
+
 def identity(columns: list[str], key: list[str]) -> Column:
     """What makes a row the same as another: a digest of its key or, where a key column is NULL, of the whole row."""
     whole = F.concat(F.lit("row "), F.to_json(F.struct(*sorted(columns))))
@@ -118,10 +133,13 @@ def stream_identity(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
 
-def append_batch(batch: DataFrame, table: str, stream: str, number: int, key: list[str], buckets: int) -> None:
+def append_batch(
+    batch: DataFrame, table: str, stream: str, number: int, key: list[str], buckets: int,
+    derive: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> None:
     """Add the rows of a batch whose key the table does not have: rows first, then their digests, then the commit.
 
-    ``buckets`` is what :func:`lay_out` says of the table.
+    ``buckets`` is what :func:`lay_out` says of the table.  ``derive`` names further tables of the batch, each computed from its new rows.
     A batch that is committed already (the run ended before its checkpoint knew) changes nothing.
     """
     session, columns = batch.sparkSession, batch.columns
@@ -136,19 +154,25 @@ def append_batch(batch: DataFrame, table: str, stream: str, number: int, key: li
     finally:
         rows.unpersist()
     # The digests of what was written, whatever was computed again on the way.
-    written = session.read.schema(batch.schema).parquet(folder).select(identity(columns, key).alias(IDENTITY))
+    new = session.read.schema(batch.schema).parquet(folder)
+    for name, compute in (derive or {}).items():
+        compute(new).write.mode("overwrite").parquet(f"{table}/_{name}/{STREAM}={stream}/{BATCH}={number}")
+    written = new.select(identity(columns, key).alias(IDENTITY))
     index = written.select(IDENTITY, F.lit(stream).alias(STREAM), F.lit(number).cast("long").alias(BATCH), _bucket(buckets))
     index.repartition(BUCKET).sortWithinPartitions(BUCKET, IDENTITY).write.mode("append").partitionBy(BUCKET).parquet(f"{table}/_keys")
     count = written.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(stream).alias(STREAM), F.lit(number).cast("long").alias(BATCH))
     count.write.mode("append").partitionBy(STREAM, BATCH).parquet(f"{table}/_commits")
 
 
-def _append(rows: DataFrame, table: str, checkpoint: str, key: list[str], buckets: int | None) -> StreamingQuery:
+def _append(
+    rows: DataFrame, table: str, checkpoint: str, key: list[str], buckets: int | None,
+    derive: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> StreamingQuery:
     """Start a run that appends what has landed since the last one."""
     kept = lay_out(rows.sparkSession, table, buckets)
 
     def write(batch: DataFrame, number: int) -> None:
-        append_batch(batch, table, stream_identity(batch.sparkSession, checkpoint), number, key, kept)
+        append_batch(batch, table, stream_identity(batch.sparkSession, checkpoint), number, key, kept, derive)
 
     return (
         rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -170,3 +194,23 @@ def ingest_records(
 ) -> StreamingQuery:
     """Append the records landed since the last run, each identifier once; records without one are told apart by all they have."""
     return _append(record_stream(spark, landing, **options), table, checkpoint, ["identifier"], buckets)
+
+
+def monthly_sketches(observations: DataFrame) -> DataFrame:
+    return quantile_sketches(with_month(observations), ["series_id", "mon"], "valor")
+
+
+def ingest_observations(
+    spark: SparkSession, landing: str, table: str, checkpoint: str, key: list[str] | None = None,
+    buckets: int | None = None, **options,
+) -> StreamingQuery:
+    """Append the observations landed since the last run, each (series, start) once, with their sketches by series and month."""
+    rows = observation_stream(spark, landing, **options)
+    return _append(rows, table, checkpoint, key or ["series_id", "timestart"], buckets, {"sketches": monthly_sketches})
+
+
+def read_sketches(spark: SparkSession, table: str) -> DataFrame:
+    """(series_id, mon, count, total, sketch) over all complete batches: quantiles of the whole table without reading its rows."""
+    fields = StructType.fromDDL(f"series_id long, mon int, count long, total double, sketch binary, {_COMMIT}")
+    parts = spark.read.schema(fields).parquet(f"{table}/_sketches").join(commits(spark, table), [STREAM, BATCH], "left_semi")
+    return merge_sketches(parts, ["series_id", "mon"])

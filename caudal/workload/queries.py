@@ -18,7 +18,7 @@ from caudal.plans import (
 from caudal import sinks, sources
 from caudal.session import scratch_dir
 from caudal.sources.catalogue_b import conform_observations
-from caudal.streaming import ingest_pages, ingest_records, read_ingested
+from caudal.streaming import ingest_observations, ingest_pages, ingest_records, read_ingested, read_sketches
 from caudal.workload import views as V
 from caudal.workload.registry import query
 from caudal.workload.sql import (
@@ -641,10 +641,8 @@ SELECT user_id AS series_id, round(avg(value), 8) AS mean, round(quantile_cont(v
   round(quantile_cont(value, 0.9), 6) AS p90, round(quantile_cont(value, 0.99), 6) AS p99
 FROM events GROUP BY user_id, month(ts)""")
 def monthly_stats_events(spark: SparkSession, sf: str) -> DataFrame:
-    """A-09 with the slicing of large groups forced on: every group takes the sliced path."""
-    monthly = statistics.monthly_statistics(
-        V.fine_observations(spark, sf), slices=4
-    )
+    """A-09 with the selection of large groups forced on: every group of more than 32 rows is bracketed."""
+    monthly = statistics.monthly_statistics(V.fine_observations(spark, sf), limit=0, bracket=16)
     # Means of 64 two-decimal values lie exactly between two numbers of seven
     # decimals, where the order of summation would decide; eight have no such case.
     return monthly.select(
@@ -652,6 +650,33 @@ def monthly_stats_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_WITHIN = [0.01, 0.1, 0.5, 0.9, 0.99]
+
+
+def _rank_error(approximate: DataFrame, values: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """``keys, count, error``: how far the rank of any of the named values is from the one asked for, as a share of the group."""
+    joined = values.join(approximate, keys)
+    counts = [F.count_if(F.col("v") < F.col(n)).alias(f"below_{n}") for n in names] + [F.count_if(F.col("v") <= F.col(n)).alias(f"upto_{n}") for n in names]
+    ranked = joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), *counts)
+    away = [
+        F.greatest(F.col(f"below_{n}") / F.col("count") - p, F.lit(p) - F.col(f"upto_{n}") / F.col("count"), F.lit(0.0)) for n, p in zip(names, _WITHIN)
+    ]
+    return ranked.select(*keys, "count", F.greatest(*away).alias("error"))
+
+
+@query("monthly_stats_approximate", """
+SELECT l_suppkey * 10 + l_linenumber AS series_id, month(l_shipdate) - 1 AS mon, count(*) AS count, round(avg(l_quantity), 6) AS mean, true AS near
+FROM lineitem GROUP BY ALL""")
+def monthly_stats_approximate(spark: SparkSession, sf: str) -> DataFrame:
+    """A-09 from sketches: every quantile's rank is within 2 in 100 of the exact one."""
+    observations = V.observations(spark, sf)
+    monthly = statistics.monthly_statistics(observations, approximate=True)
+    error = _rank_error(monthly.drop("count"), statistics.with_month(observations).withColumnRenamed("valor", "v"), ["series_id", "mon"], _Q[1:])
+    return error.join(monthly.select("series_id", "mon", "mean"), ["series_id", "mon"]).select(
+        "series_id", F.col("mon").cast("long").alias("mon"), "count", F.round("mean", 6).alias("mean"), (F.col("error") < 0.02).alias("near")
+    )
+
+
 @query("series_percentiles", with_(PERCENTILES) + """
 SELECT id AS series_id, CAST(0.05 AS DOUBLE) AS percentile, round(p05, 6) AS valor FROM pe
 UNION ALL SELECT id, CAST(0.5 AS DOUBLE), round(p50, 6) FROM pe UNION ALL SELECT id, CAST(0.95 AS DOUBLE), round(p95, 6) FROM pe""")
@@ -1018,3 +1043,20 @@ def stream_records(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         ingest_records(spark, landing, table, scratch_dir(spark, "records-checkpoint")).awaitTermination()
     return read_ingested(spark, table, "identifier string, setSpec string").select("identifier", "setSpec")
+
+
+@query("ingested_sketches", """
+SELECT month(ts) - 1 AS mon, count(*) AS count, round(avg(value), 6) AS mean, true AS near FROM events GROUP BY ALL""")
+def ingested_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """ST-01, A-09: two landings of observations, sketched by series and month with each batch, read by month over all series."""
+    rows = V.fine_observations(spark, sf)
+    table = scratch_dir(spark, "sketch-table")
+    for half in (F.col("series_id") % 3 < 2, F.col("series_id") % 3 > 0):
+        landing = V.land_observations(rows.filter(half))
+        ingest_observations(spark, landing, table, scratch_dir(spark, "sketch-checkpoint"), ["series_id", "timestart", "valor"]).awaitTermination()
+    by_month = statistics.merge_sketches(read_sketches(spark, table), ["mon"])
+    found = statistics.sketch_quantiles(by_month, ["mon"], statistics.MONTHLY_QUANTILES)
+    error = _rank_error(found.drop("count"), statistics.with_month(rows).withColumnRenamed("valor", "v"), ["mon"], _Q[1:])
+    return error.join(found.select("mon", "mean", F.col("count").alias("held")), "mon").select(
+        F.col("mon").cast("long").alias("mon"), F.col("held").alias("count"), F.round("mean", 6).alias("mean"), (F.col("error") < 0.02).alias("near")
+    )

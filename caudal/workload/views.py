@@ -300,6 +300,14 @@ def land_json_pages(
     return path
 
 
+def land_observations(rows: DataFrame, label: str = "observations") -> str:
+    """Observations as landed JSON lines with their instants as text."""
+    path = scratch_dir(rows.sparkSession, label)
+    instants = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") for c in ("timestart", "timeend")}
+    rows.withColumns(instants).write.json(path)
+    return path
+
+
 def land_documents(rows: DataFrame, page: Column, order: Column, item: Column, head: Column | str,
                    tail: Column | str, label: str) -> str:
     """Write one document per page (head, the items in order, tail), pages in order of number."""

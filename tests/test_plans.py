@@ -43,15 +43,16 @@ def final_plan(frame) -> str:
     return text[:text.index("== Initial Plan")] if "== Initial Plan" in text else text
 
 
-def test_quantiles_scan_the_observations_once(observations):
+def test_quantiles_read_the_values_once(observations):
+    """Once the groups are counted, one scan of the values is left: where no group is large the selection is not run."""
     text = final_plan(statistics.monthly_statistics(observations))
-    assert text.count("FileScan") == 1
+    assert text.count("FileScan") == 1 and text.count("Window ") == 1
 
 
-def test_job_statistics_share_one_histogram(observations):
-    """One scan for the date ranges, one for all quantiles."""
+def test_job_statistics_move_the_values_once(observations):
+    """One pass for the ranges, which also tells large series, and one for all quantiles, by month and as a whole."""
     text = final_plan(observation_statistics(observations))
-    assert text.count("FileScan") == 2 and "ReusedExchange" in text
+    assert text.count("FileScan") == 2 and text.count("REPARTITION_BY_COL") == 1
 
 
 def test_constant_codes_are_broadcast_and_nothing_is_crossed(spark, sf):

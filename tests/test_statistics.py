@@ -21,8 +21,7 @@ def observations(spark, n=3000, hot=0.5, seed=3):
     return rows, spark.createDataFrame(rows, "series_id long, timestart timestamp, timeend timestamp, valor double")
 
 
-@pytest.mark.parametrize("limits", [{}, {"slices": 4}, {"slices": 7},
-                                    {"slices": 2}])
+@pytest.mark.parametrize("limits", [{}, {"limit": 0, "bracket": 20}, {"limit": 120, "bracket": 40}])
 def test_monthly_statistics_equal_numpy(spark, limits):
     rows, frame = observations(spark)
     groups = {}
@@ -85,9 +84,80 @@ def test_observation_statistics_shape(spark):
         assert [p.percentile for p in r.percentiles] == [0.05, 0.5, 0.95]
 
 
-def test_bulk_data_is_shuffled_once_before_ranking(spark):
-    """Only the histogram moves data; the auxiliary passes combine first."""
+def executed(frame) -> str:
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    return text[:text.index("== Initial Plan")] if "== Initial Plan" in text else text
+
+
+def test_no_histogram_is_shuffled(spark):
+    """Ordinary groups move their rows once, by key; large ones are aggregated where they are scanned."""
     _, frame = observations(spark)
-    plan = S.monthly_statistics(frame)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [sum(_c#") == 1           # only slices that hold a wanted rank
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    text = executed(S.monthly_statistics(frame))
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    assert text.count("Window ") == 1 and "percentile_approx" not in text  # no group is large: no selection
+    assert "keys=[series_id" in text and not [x for x in text.split("HashAggregate") if "keys=" in x and "_v#" in x.split("functions=")[0]]
+
+
+def test_large_groups_move_only_what_lies_near_a_rank(spark):
+    frame = spark.range(300_000).select(F.lit(1).alias("k"), (F.xxhash64("id") % 1_000_003).cast("double").alias("v"))
+    values = np.array([r.v for r in frame.collect()])
+    wanted = {"a": 0.0, "b": 0.05, "c": 0.5, "d": 0.999, "e": 1.0}
+    found = S.exact_quantiles(frame, ["k"], "v", wanted, limit=1000)
+    r = found.first()
+    assert r["count"] == 300_000 and r["mean"] == pytest.approx(values.mean())
+    assert [r[x] for x in wanted] == pytest.approx(list(np.quantile(values, list(wanted.values()))))
+    large = spark.createDataFrame([(1, 300_000)], "k int, _n long")
+    kept = S._bracket_values(frame.withColumnRenamed("v", "_v"), large, ["k"], wanted, 10_000)
+    assert kept.filter("v IS NOT NULL").count() < 300_000 * 0.004
+
+
+def test_a_hot_value_is_one_row(spark):
+    frame = spark.range(50_000).select(F.lit(1).alias("k"), F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).cast("double").alias("v"))
+    values = np.array([float(i) if i % 3 == 0 else 7.0 for i in range(50_000)])
+    r = S.exact_quantiles(frame, ["k"], "v", {"a": 0.3, "b": 0.5, "c": 0.9}, limit=100).first()
+    assert [r.a, r.b, r.c] == pytest.approx(list(np.quantile(values, [0.3, 0.5, 0.9])))
+    large = spark.createDataFrame([(1, 50_000)], "k int, _n long")
+    assert S._bracket_values(frame.withColumnRenamed("v", "_v"), large, ["k"], {"b": 0.5}, 10_000).count() < 60
+
+
+@pytest.mark.parametrize("limit", [0, 300, 1 << 22])
+def test_nested_statistics_equal_numpy(spark, limit):
+    rows, frame = observations(spark)
+    rows.append((99, None, None, 4.5))
+    rows.append((98, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2), None))
+    frame = frame.union(spark.createDataFrame(rows[-2:], frame.schema))
+    got = {r.series_id: r for r in observation_statistics(frame, [0.05, 0.5], limit=limit, bracket=20).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for series, r in got.items():
+        mine = [x for x in rows if x[0] == series]
+        assert r.date_range["count"] == len(mine)
+        values = [x[3] for x in mine if x[3] is not None]
+        if not values:
+            assert r.percentiles is None and r.monthlyStats is None
+            continue
+        assert [(p.percentile, p.valor) for p in r.percentiles] == [(p, pytest.approx(np.quantile(values, p))) for p in (0.05, 0.5)]
+        months = sorted({x[1].month - 1 for x in mine if x[3] is not None and x[1]})
+        assert [m.mon for m in r.monthlyStats or []] == months
+        for m in r.monthlyStats or []:
+            own = [x[3] for x in mine if x[3] is not None and x[1] and x[1].month - 1 == m.mon]
+            assert (m.mean, m.p01, m.p99) == (pytest.approx(np.mean(own)), pytest.approx(np.quantile(own, 0.01)), pytest.approx(np.quantile(own, 0.99)))
+
+
+def test_sketches_merge_and_keep_their_rank_error(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 2, i % 12, float(v)) for i, v in enumerate(rng.normal(size=20_000))] + [(0, 1, None), (1, 2, float("nan")), (None, 1, 3.0), (2, 0, None), (3, 5, 1.5)]
+    frame = spark.createDataFrame(rows, "series_id int, mon int, valor double").repartition(5)
+    parts = [S.quantile_sketches(frame.filter(c), ["series_id", "mon"], "valor") for c in ("mon < 5", "mon >= 5")]
+    merged = S.merge_sketches(parts[0].unionByName(parts[1]), ["series_id"])
+    names = {"p10": 0.1, "p50": 0.5, "p99": 0.99}
+    got = {r.series_id: r for r in S.sketch_quantiles(merged, ["series_id"], names).collect()}
+    assert set(got) == {0, 1, 3} and (got[3]["count"], got[3].mean, got[3].p50) == (1, 1.5, 1.5)
+    for series in (0, 1):
+        values = sorted(v for s, _, v in rows if s == series and v is not None and not np.isnan(v))
+        assert got[series]["count"] == len(values) and got[series].mean == pytest.approx(np.mean(values))
+        for name, p in names.items():
+            assert abs(np.searchsorted(values, got[series][name]) / len(values) - p) < 0.02
+    # Few values are held as they are.
+    few = S.approximate_quantiles(frame.limit(0).union(spark.createDataFrame([(9, 0, float(i)) for i in range(100)], frame.schema)), ["series_id"], "valor", {"p50": 0.5})
+    assert few.first().p50 == 49.0

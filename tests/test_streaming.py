@@ -165,3 +165,25 @@ def test_only_touched_buckets_are_read(spark, tmp_path):
     assert ingest.lay_out(spark, table) == 64
     with pytest.raises(ValueError):
         ingest.lay_out(spark, table, 8)
+
+
+def test_observations_are_sketched_with_each_batch(spark, tmp_path):
+    from caudal.operators import statistics
+    from caudal.streaming import ingest_observations, read_sketches
+
+    def land(name, numbers):
+        lines = [json.dumps({"series_id": i % 2, "timestart": f"2024-0{1 + i % 3}-01T00:{i % 60:02}:00Z", "timeend": "2024-01-02T00:00:00Z", "valor": str(i)}) for i in numbers]
+        put(tmp_path / "in", name, "\n".join(lines))
+
+    def run(checkpoint):
+        ingest_observations(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / checkpoint)).awaitTermination()
+
+    land("a.json", range(40))
+    run("c")
+    land("b.json", range(30, 60))
+    run("c")
+    run("new")
+    sketches = read_sketches(spark, str(tmp_path / "table"))
+    found = statistics.sketch_quantiles(statistics.merge_sketches(sketches, ["series_id"]), ["series_id"], {"p50": 0.5, "p100": 1.0}).collect()
+    assert {(r.series_id, r["count"], r.mean, r.p50, r.p100) for r in found} == {(0, 30, 29.0, 28.0, 58.0), (1, 30, 30.0, 29.0, 59.0)}
+    assert sketches.count() == 6
