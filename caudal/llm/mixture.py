@@ -10,7 +10,7 @@ from caudal.llm.common import stage
 SPACE = r"\x20\x09-\x0D"
 #: Order keys have so many bits; a source's keys are cut into ranges of about so many rows.
 KEY_BITS = 60
-RANGE_ROWS = 1 << 15
+RANGE_ROWS = 1 << 12
 #: Equal rows travel together up to this number.
 COPIES = 1 << 10
 #: Bits of a row's number within its task in ``monotonically_increasing_id``.
