@@ -2,20 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|</table\s*>|\z)"
-_CELL = r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]\s*>|<t[dh]\b|\z)"
+#: A tag that opens or closes a table, a row or a cell.
+_BEFORE_TAG = r"(?i)(?=</?(?:table|tr|t[dh])[\s/>])"
+#: Such a tag at the start of a token; a quoted value may hold a closing bracket.
+_TAG = r"""^<(?:[^>"']|"[^"]*+"|'[^']*+')*+>?"""
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+#: Marks where a cell starts while a row is put together; no text of a page holds it.
+_START = "\x01"
 
 
-def read_semantic_rows(spark: SparkSession, path: str) -> DataFrame:
-    """One row per table row: ``cells``, the inner HTML of its cells.
+def table_cells(pages: DataFrame) -> DataFrame:
+    """(page, row, cells): the inner HTML of the cells of every row of the outer tables of ``page, value``.
 
-    The text is cut at the closing row tag, so a large page is split over
-    tasks; rows whose tag is left open or written in capitals are found by the
-    row pattern within the piece.
+    The text is cut into tokens before each table, row or cell tag.  Running counts over the tokens of a page give each its
+    depth of tables, its row and its cell; what stands inside a nested table belongs to the cell around it.  As a browser does,
+    a row or cell that is not closed ends where the next one or the table's end stands, a closing tag without an opening one
+    says nothing, and comments hold no tags.
     """
-    pieces = spark.read.option("lineSep", "</tr>").text(path)
-    rows = pieces.select(F.explode(F.regexp_extract_all("value", F.lit(_ROW), 1)).alias("row"))
-    return rows.select(F.regexp_extract_all("row", F.lit(_CELL), 1).alias("cells"))
+    plain = F.regexp_replace(F.translate("value", _START, " "), _COMMENT, "")
+    tokens = pages.select("page", F.posexplode(F.split(plain, _BEFORE_TAG)).alias("pos", "token"))
+    tokens = tokens.withColumn("tag", F.lower(F.regexp_extract("token", r"^<(/?[A-Za-z]+)", 1)))
+    here = Window.partitionBy("page").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def state(on: Column, off: Column) -> Column:
+        return F.last(F.when(on, True).when(off, False), ignorenulls=True).over(here)
+
+    tag = F.col("tag")
+    tokens = tokens.withColumn("open", F.sum(F.when(tag == "table", 1).when(tag == "/table", -1).otherwise(0)).over(here))
+    # Closing tags beyond the opening ones do not count.
+    tokens = tokens.withColumn("depth", F.col("open") - F.least(F.lit(0), F.min("open").over(here)))
+    outer = F.col("depth") == 1
+    row_starts, cell_starts = outer & (tag == "tr"), outer & tag.isin("td", "th")
+    row_ends = (outer & (tag == "/tr")) | ((tag == "/table") & (F.col("depth") == 0)) | (outer & (tag == "table"))
+    cell_ends = row_starts | row_ends | (outer & tag.isin("/td", "/th"))
+    started = F.concat(F.lit(_START), F.regexp_replace("token", _TAG, ""))
+    tokens = tokens.select(
+        "page", "pos", F.when(cell_starts, started).otherwise(F.col("token")).alias("html"), F.count_if(row_starts).over(here).alias("row"),
+        (state(row_starts, row_ends) & state(cell_starts, cell_ends)).alias("inside"),
+    )
+    # The page's tokens lie together already: no further shuffle.
+    rows = tokens.filter("inside").groupBy("page", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "html"))).alias("t"))
+    cells = F.split(F.array_join("t.html", ""), _START)
+    return rows.select("page", "row", F.slice(cells, F.lit(2), F.size(cells)).alias("cells"))
+
+
+def read_semantic_rows(spark: SparkSession, path: str) -> DataFrame:
+    """One row per row of the pages' outer tables: ``cells``, the inner HTML of its cells.  A page is read whole."""
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("page"), "value")
+    return table_cells(pages).select("cells")

@@ -358,12 +358,21 @@ def land_dictionary(spark: SparkSession, sf: str) -> str:
 
 
 def land_semantic(spark: SparkSession, sf: str) -> str:
-    """Semantic HTML pages from parts, with a header row and a row of another length per page."""
+    """Semantic HTML pages from parts, with a header row and a row of another length per page.
+
+    Every tenth description holds a table of its own, every eleventh row a comment with a row in it, and every
+    thirteenth row (if its last cell has a text) leaves its cells and itself open.
+    """
     p = F.col("p_partkey")
     text = p.cast("string")
 
+    left_open = (p % 13 == 0) & (p % 6 != 0)
+    end = F.when(left_open, F.lit("")).otherwise(F.lit("</td>"))
+    nested = F.when(p % 10 == 0, F.lit("<table><tr><td>in<td>ner</table>")).otherwise(F.lit(""))
+    comment = F.when(p % 11 == 0, F.lit("<!-- <tr><td>no</td> </table> -->")).otherwise(F.lit(""))
+
     def cell(value: Column | str) -> Column:
-        return F.concat(F.lit("<td>"), F.lit(value) if isinstance(value, str) else value, F.lit("</td>"))
+        return F.concat(F.lit("<td>"), F.lit(value) if isinstance(value, str) else value, end)
 
     def link(nothing: Column, target: Column) -> Column:
         href = F.when(nothing, F.lit("null")).otherwise(target)
@@ -376,12 +385,12 @@ def land_semantic(spark: SparkSession, sf: str) -> str:
         F.lit("<tr>"),
         cell(F.upper(F.sha1(text))), cell(F.concat(F.lit("id"), text)), cell(F.col("p_name")),
         link(p % 3 == 0, F.concat(F.lit("http://c/"), text, F.lit("?a=1&amp;b=2"))),
-        cell(F.concat(F.col("p_name"), F.lit(" &lt;&eacute;&gt;\r\n"), F.col("p_type"))),
+        cell(F.concat(F.col("p_name"), F.lit(" &lt;&eacute;&gt;\r\n"), F.col("p_type"), nested)), comment,
         cell(F.col("p_brand")), link(p % 5 == 0, F.concat(F.lit("http://u/"), F.col("p_brand"))),
         maybe(p % 4 == 0, F.col("p_type")), maybe(p % 7 == 0, F.col("p_size").cast("string")),
         maybe(p % 2 == 0, F.lit("1")), maybe(p % 9 == 0, F.lit("h")), maybe(p % 8 == 0, F.lit("true")),
         cell("null"), cell(F.when(p % 6 == 0, F.lit("")).otherwise(F.lit("ARG"))),
-        F.lit("</tr>"),
+        F.when(left_open, F.lit("")).otherwise(F.lit("</tr>")),
     )
     head = "<html><body><table><tr><th>code</th><th>id</th></tr><tr><td>short</td><td>x</td></tr>"
     return land_documents(
@@ -389,15 +398,16 @@ def land_semantic(spark: SparkSession, sf: str) -> str:
     )
 
 
+WMDR = ' xmlns:wmdr="http://def.wmo.int/wmdr/2017"'
 OAI = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/" xmlns:p="http://www.openarchives.org/OAI/2.0/">'
 
 
-def land_records(spark: SparkSession, sf: str, missing: int | None = None, nameless: bool = False) -> str:
+def land_records(spark: SparkSession, sf: str, missing: int | None = None, nameless: bool = False, outer: bool = False) -> str:
     """Record pages from customers, without the ``missing`` one.
 
     Every ninth record has no metadata, every seventh a record element of another kind inside it, every fourth two
     sets, and every fifth stands under a namespace prefix.  ``nameless`` takes the identifier from every eleventh that
-    has metadata.
+    has metadata; ``outer`` leaves the declaration of the metadata's prefix to the page's root.
     """
     customers = table(spark, sf, "customer")
     k = F.col("c_custkey")
@@ -418,7 +428,7 @@ def land_records(spark: SparkSession, sf: str, missing: int | None = None, namel
     ))
     inner = F.when(k % 7 == 0, F.lit('<record xmlns="urn:x"><name/></record>')).otherwise(F.lit(""))
     metadata = element("metadata", F.concat(
-        F.lit('<wmdr:Record xmlns:wmdr="http://def.wmo.int/wmdr/2017" id="r'), k.cast("string"),
+        F.lit('<wmdr:Record id="r' if outer else f'<wmdr:Record{WMDR} id="r'), k.cast("string"),
         F.lit('"><wmdr:name>'), F.col("c_name"), F.lit(" &amp; &lt;sons&gt;</wmdr:name>"), inner, F.lit("</wmdr:Record>"),
     ))
     item = element("record", F.concat(header, F.when(k % 9 != 0, metadata).otherwise(F.lit(""))))
@@ -431,7 +441,7 @@ def land_records(spark: SparkSession, sf: str, missing: int | None = None, namel
     )
     landed = customers if missing is None else customers.where(F.floor(k / PAGE_ROWS) != missing)
     return land_documents(
-        landed, page_number(k), k, item, f"{OAI}<ListRecords>\n", tail, "records"
+        landed, page_number(k), k, item, f"{OAI.replace('>', WMDR + '>') if outer else OAI}<ListRecords>\n", tail, "records"
     )
 
 

@@ -235,3 +235,19 @@ def test_catalogue_b_sources(spark, tmp_path):
         {"series_id": 1, "timestart": "2020-01-01T00:00:30.000Z", "timeend": "2020-01-01T00:01:30.000Z", "valor": "1.5"}]))
     o = sources.read_observations(spark, str(tmp_path / "ob"), "json", multi_line=True).collect()[0]
     assert (o.timestart.minute, o.timeend.minute, o.valor) == (0, 2, 1.5)
+
+
+def test_nested_tables_open_cells_and_comments(spark, tmp_path):
+    page = (
+        "</table><body><table class='a>b'><tr><th>h</th></tr>"
+        "<tr><td title='x>y'>one <b>b</b><td>two<table><tr><td>in</td></tr><tr><td>ner</table> rest</td>between"
+        "<TD>three<!-- <tr><td>no</table> --> on</TD></tr>stray"
+        "<tr><td>open<tr><td></td></tr></tr></table>out<td>side</td>"
+        "<table><tbody><tr><td>second</td></tbody></table><!-- <table><tr><td>never"
+    )
+    path = put(tmp_path, "s.html", page)
+    rows = sorted(r.cells for r in sources.read_semantic_rows(spark, path).collect())
+    assert rows == sorted([
+        ["h"], ["one <b>b</b>", "two<table><tr><td>in</td></tr><tr><td>ner</table> rest", "three on"],
+        ["open"], [""], ["second"],
+    ])
