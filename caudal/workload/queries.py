@@ -915,6 +915,16 @@ def record_pages(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_records(spark, V.land_records(spark, sf)).select("identifier", "setSpec", "metadata")
 
 
+@query("record_namespaces", f"""
+SELECT 'id-' || c_custkey AS identifier, replace(replace({_METADATA}, ' xmlns:wmdr="http://def.wmo.int/wmdr/2017"', ''),
+  '"><wmdr:name>', '" xmlns:wmdr="http://def.wmo.int/wmdr/2017"><wmdr:name>') AS metadata
+FROM customer WHERE c_custkey % 9 <> 0""")
+def record_namespaces(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-07: the root of the page declares the metadata's prefix; every record's metadata has it and can be parsed alone."""
+    records = sources.read_records(spark, V.land_records(spark, sf, outer=True))
+    return records.where("metadata IS NOT NULL").select("identifier", "metadata")
+
+
 @query("record_filters", """
 SELECT 'id-' || c_custkey AS identifier FROM customer WHERE lower(c_mktsegment) = 'building'
 UNION ALL SELECT 'id-7' FROM customer WHERE c_custkey = 7""")

@@ -251,3 +251,39 @@ def test_nested_tables_open_cells_and_comments(spark, tmp_path):
         ["h"], ["one <b>b</b>", "two<table><tr><td>in</td></tr><tr><td>ner</table> rest", "three on"],
         ["open"], [""], ["second"],
     ])
+
+
+def test_metadata_carries_the_namespaces_around_it(spark, tmp_path):
+    """A page whose root declares every prefix: each record's metadata parses alone, under the same names."""
+    import xml.etree.ElementTree as ET
+
+    oai = "http://www.openarchives.org/OAI/2.0/"
+    header = "<o:header><o:identifier>{}</o:identifier></o:header>"
+    bodies = {
+        "a": "<w:R w:id='1'><w:n>t: u <x:y/></w:n></w:R>",
+        "b": '<R z.1:q="2"><w:n xmlns:w="own">v</w:n></R>',
+        "c": '<w:R xmlns:w="own"><x:record><x:header/></x:record></w:R>',
+        "d": '<v:R xmlns="urn:in"><n/></v:R>',
+        "e": "<!-- c --><w:R/>",
+    }
+    record = '<o:record xmlns:v="urn:v">{}<o:metadata xmlns:x="urn:x2">{}</o:metadata></o:record>'
+    page = (
+        f'<?xml version="1.0"?><o:OAI-PMH xmlns:o="{oai}" xmlns:w="urn:w&amp;1" xmlns="urn:default" xmlns:x="urn:x1" xmlns:z.1="urn:z"><o:ListRecords>'
+        + "".join(record.format(header.format(i), body) for i, body in bodies.items())
+        + "</o:ListRecords></o:OAI-PMH>"
+    )
+    served = {x.find(f".//{{{oai}}}identifier").text: x.find(f"{{{oai}}}metadata")[0] for x in ET.fromstring(page).iter(f"{{{oai}}}record")}
+    found = {r.identifier: r.metadata for r in sources.read_records(spark, put(tmp_path, "p.xml", page)).collect()}
+    assert set(found) == set(bodies)
+    names = lambda x: [(e.tag, sorted(e.attrib.items())) for e in x.iter()]
+    for i, text in found.items():
+        assert names(ET.fromstring(text)) == names(served[i]), text
+    assert found["d"] == '<v:R xmlns="urn:in" xmlns:v="urn:v"><n/></v:R>'
+    # The namespace decides, not the local name: in the metadata a record under another one opens no record.
+    assert found["c"] == '<w:R xmlns:w="own" xmlns:x="urn:x2"><x:record><x:header/></x:record></w:R>'
+
+
+def test_metadata_that_declares_its_namespaces_stays_as_served(spark, tmp_path):
+    body = '<w:R xmlns:w="u" a="&gt;"><record xmlns="urn:x"><name/></record></w:R>'
+    page = f'<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><ListRecords><record><header><identifier>i</identifier></header><metadata>{body}</metadata></record></ListRecords></OAI-PMH>'
+    assert [r.metadata for r in sources.read_records(spark, put(tmp_path, "p.xml", page)).collect()] == [body]
