@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,27 @@ def completeness(records: DataFrame, tokens: DataFrame) -> DataFrame:
         "expected", "last_cursor",
         F.coalesce(done, F.col("expected").isNull()).alias("complete"),
     )
+
+
+def missing_intervals(records: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(harvest, missing_from, missing_to, token): the stretches of a list that a harvest has no page for, and where to go on (A-12).
+
+    A page's cursor counts the records up to its end, so it covers as many places before it as it holds records; the page without
+    a cursor is the last one of the list.  Pages in order of cursor form islands, and what lies between them, before the first and after
+    the last is missing.  ``token`` is the one of the page that ends where the gap starts, with which the service
+    goes on; NULL where the list has to be asked from its start.  Pages that landed twice or overlap count once.  A list whose size no page tells has no end
+    to miss.
+    """
+    folder = F.regexp_extract("page", r"^(.*)/[^/]*$", 1).alias("harvest")
+    held = records.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+    size = tokens.groupBy(folder).agg(F.max("completeListSize").alias("expected"))
+    pages = held.join(tokens, "page", "full_outer").select(folder, F.coalesce("n", F.lit(0)).alias("n"), "cursor", "token")
+    ends = pages.join(size, "harvest", "left").withColumn("end", F.coalesce("cursor", "expected")).filter("end IS NOT NULL")
+    spans = ends.select("harvest", "expected", (F.col("end") - F.col("n")).alias("start"), "end", "token")
+    # The end of the list as a page that holds nothing.
+    closed = spans.unionByName(size.filter("expected IS NOT NULL").select("harvest", "expected", F.col("expected").alias("start"), F.col("expected").alias("end"), F.lit(None).cast("string").alias("token")))
+    before = Window.partitionBy("harvest").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reached = closed.withColumn("last", F.max(F.struct("end", "token")).over(before))
+    start = F.coalesce("last.end", F.lit(0))
+    gaps = reached.filter(F.col("start") > start)
+    return gaps.select("harvest", start.cast("long").alias("missing_from"), F.col("start").cast("long").alias("missing_to"), F.col("last.token").alias("token"))

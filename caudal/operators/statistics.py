@@ -168,13 +168,16 @@ def approximate_quantiles(
 MONTHLY_QUANTILES = {"p01": 0.01, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p99": 0.99}
 
 
+def utc_day(rows: DataFrame, name: str) -> Column:
+    """The date in UTC of an instant, whatever the session's zone."""
+    if rows.schema[name].dataType.typeName() == "timestamp":
+        return F.date_from_unix_date(F.floor(F.unix_micros(name) / 86_400_000_000).cast("int"))
+    return F.to_date(name)
+
+
 def with_month(observations: DataFrame) -> DataFrame:
     """(series_id, mon, valor) with the 0-based calendar month in UTC, whatever the session's zone."""
-    if observations.schema["timestart"].dataType.typeName() == "timestamp":
-        day = F.date_from_unix_date(F.floor(F.unix_micros("timestart") / 86_400_000_000).cast("int"))
-    else:
-        day = F.to_date("timestart")
-    return observations.select("series_id", (F.month(day) - 1).alias("mon"), "valor")
+    return observations.select("series_id", (F.month(utc_day(observations, "timestart")) - 1).alias("mon"), "valor")
 
 
 def monthly_statistics(observations: DataFrame, approximate: bool = False, **limits) -> DataFrame:

@@ -13,6 +13,7 @@ from caudal import dictionaries as D
 from caudal import schemas as S
 from caudal.operators.series import conform, conform_b
 from caudal.session import scratch_dir
+from caudal.sinks.named import records_as_files, write_named
 
 
 def _printable(df: DataFrame) -> DataFrame:
@@ -60,6 +61,23 @@ def write_result(df: DataFrame, path: str, format: str = "csv") -> None:
         raise ValueError(f"unknown result format {format!r}")
 
 
+def write_observations(observations: DataFrame, path: str, mode: str = "append") -> None:
+    """Observations (series_id, timestart, ...) in ``day=`` folders, clustered by series (F-05).
+
+    Rows are sorted by range over day, series and time: a file holds few series of few days, so its minima and maxima and
+    a Bloom filter on the id tell a reader of some series which files to skip, and a day or series of any size is split.
+    ``read_observations`` reads this layout and leaves out days and files.  Rows without a start lie in a folder of their own.
+    """
+    from caudal.operators.statistics import utc_day
+
+    dated = observations.withColumn("day", utc_day(observations, "timestart"))
+    order = ["day", "series_id", "timestart"]
+    (
+        dated.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy("day")
+        .option("parquet.bloom.filter.enabled#series_id", "true").parquet(path)
+    )
+
+
 def write_scratch(df: DataFrame, label: str) -> DataFrame:
     """The table written once in the shared scratch folder and read back."""
     path = scratch_dir(df.sparkSession, label)
@@ -155,13 +173,12 @@ def records_as_xml(records: DataFrame) -> DataFrame:
 
 
 def write_records_xml(records: DataFrame, path: str, per_record: bool = False) -> None:
-    """Record XML as one table of (identifier, value), or as a folder per identifier.
+    """Record XML as one table of (identifier, value), or as a file ``<identifier>.xml`` per record.
 
     A file per record is what a consumer of single files needs, but millions of
     small files are not a table; the table is the default.
     """
-    rows = records_as_xml(records)
     if per_record:
-        rows.write.mode("overwrite").option("lineSep", "\n").partitionBy("identifier").text(path)
+        write_named(records_as_files(records), path)
     else:
-        rows.write.mode("overwrite").parquet(path)
+        records_as_xml(records).write.mode("overwrite").parquet(path)

@@ -17,7 +17,6 @@ from caudal.plans import (
 )
 from caudal import sinks, sources
 from caudal.session import scratch_dir
-from caudal.sources.catalogue_b import conform_observations
 from caudal.streaming import ingest_observations, ingest_pages, ingest_records, read_ingested, read_sketches
 from caudal.workload import views as V
 from caudal.workload.registry import query
@@ -589,9 +588,10 @@ FROM (SELECT user_id, value, round_even(epoch_us(ts) / 60000000.0, 0) AS m1,
         round_even((epoch_us(ts) + 30000000) / 60000000.0, 0) AS m2
       FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20')""")
 def observation_window(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-11, F-05, S-10: a time range of observations, rounded to the minute."""
-    kept = filters.observations_between(V.fine_observations(spark, sf), "2024-01-05", "2024-01-20")
-    rounded = conform_observations(kept)
+    """SRC-11, F-05, S-10: a time range of stored observations, rounded to the minute."""
+    path = scratch_dir(spark, "observations")
+    sinks.write_observations(V.fine_observations(spark, sf), path)
+    rounded = sources.read_observations(spark, path, timestart="2024-01-05", timeend="2024-01-20")
     return rounded.select(
         "series_id", "valor", F.date_format("timestart", STAMP).alias("timestart"),
         F.date_format("timeend", STAMP).alias("timeend"),
@@ -987,6 +987,41 @@ def record_xml(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("record_files", f"""
+SELECT 'id-' || c_custkey || '.xml' AS name, replace({_METADATA}, '"><wmdr:name>',
+  '" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://def.wmo.int/wmdr/2017 '
+  || 'http://schemas.wmo.int/wmdr/1.0RC9/wmdr.xsd"><wmdr:name>') AS value
+FROM customer WHERE c_custkey % 9 <> 0""")
+def record_files(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-06, SNK-05: a file <identifier>.xml per record, read back."""
+    out = scratch_dir(spark, "record-files")
+    record_harvest(spark, V.land_records(spark, sf), out, per_record=True)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(out)
+    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.decode("content", "UTF-8").alias("value"))
+
+
+@query("page_copies", """
+SELECT 'records_' || least((p + 1) * 500, n) || '.xml' AS name, true AS same
+FROM (SELECT DISTINCT c_custkey // 500 AS p, (SELECT count(*) FROM customer) AS n FROM customer)""")
+def page_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-07: landed pages copied byte for byte under their cursor's name."""
+    landing, out = V.land_records(spark, sf, apart=True), scratch_dir(spark, "page-copies")
+    sinks.write_named(sinks.page_copies(spark, landing), out)
+    pages, copies = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(x).withColumn("digest", F.sha2("content", 256)) for x in (landing, out))
+    found = copies.join(pages.select("digest", F.lit(True).alias("same")), "digest", "left")
+    return found.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.coalesce("same", F.lit(False)).alias("same"))
+
+
+@query("record_gaps", """
+SELECT p * 500 AS missing_from, least(p * 500 + 500, n) AS missing_to, 't' || lpad(CAST(p - 1 AS VARCHAR), 9, '0') AS token
+FROM (SELECT DISTINCT c_custkey // 500 AS p, (SELECT count(*) FROM customer) AS n FROM customer) WHERE p % 3 = 1""")
+def record_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """A-12, JOB-06: which stretches of the list a harvest misses, and the tokens to go on from."""
+    landing = V.land_records(spark, sf, apart=True, lost=F.col("page") % 3 == 1)
+    gaps = quality.missing_intervals(sources.read_records(spark, landing), sources.read_page_tokens(spark, landing))
+    return gaps.select("missing_from", "missing_to", "token")
+
+
 @query("metadata_formats", "SELECT 'f' || p_partkey AS \"metadataPrefix\" FROM part")
 def metadata_formats(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-05: offered formats."""

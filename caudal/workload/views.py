@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from caudal import dictionaries as D
 from caudal.session import scratch_dir
+from caudal.sinks.named import write_named
 from caudal.sources.tables import basins_from_rings
 
 ORGANISATIONS = list(D.ORGANISATION_CODES)
@@ -309,14 +310,14 @@ def land_observations(rows: DataFrame, label: str = "observations") -> str:
 
 
 def land_documents(rows: DataFrame, page: Column, order: Column, item: Column, head: Column | str,
-                   tail: Column | str, label: str) -> str:
-    """Write one document per page (head, the items in order, tail), pages in order of number."""
+                   tail: Column | str, label: str, apart: bool = False) -> str:
+    """Write one document per page (head, the items in order, tail), pages in order of number; ``apart``: a file for each."""
     path = scratch_dir(rows.sparkSession, label)
 
     def text(x) -> Column:
         return F.lit(x) if isinstance(x, str) else x
 
-    (
+    documents = (
         rows.select(page.alias("page"), order.alias("_o"), item.alias("_i"))
         .groupBy("page")
         .agg(F.sort_array(F.collect_list(F.struct("_o", "_i"))).alias("_items"))
@@ -324,9 +325,11 @@ def land_documents(rows: DataFrame, page: Column, order: Column, item: Column, h
             "page",
             F.concat(text(head), F.array_join(F.col("_items._i"), "\n"), text(tail)).alias("value"),
         )
-        .orderBy("page").select("value")
-        .write.mode("overwrite").text(path)
     )
+    if apart:
+        write_named(documents.select(F.concat(F.lit("page-"), "page", F.lit(".xml")).alias("name"), "value"), path)
+    else:
+        documents.orderBy("page").select("value").write.mode("overwrite").text(path)
     return path
 
 
@@ -402,8 +405,12 @@ WMDR = ' xmlns:wmdr="http://def.wmo.int/wmdr/2017"'
 OAI = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/" xmlns:p="http://www.openarchives.org/OAI/2.0/">'
 
 
-def land_records(spark: SparkSession, sf: str, missing: int | None = None, nameless: bool = False, outer: bool = False) -> str:
-    """Record pages from customers, without the ``missing`` one.
+def land_records(
+    spark: SparkSession, sf: str, missing: int | None = None, nameless: bool = False, outer: bool = False,
+    apart: bool = False, lost: Column | None = None,
+) -> str:
+    """Record pages from customers, without the ``missing`` one.  ``apart``: pages as files of their own,
+    without those for which ``lost`` (on ``page``) holds.
 
     Every ninth record has no metadata, every seventh a record element of another kind inside it, every fourth two
     sets, and every fifth stands under a namespace prefix.  ``nameless`` takes the identifier from every eleventh that
@@ -440,8 +447,10 @@ def land_records(spark: SparkSession, sf: str, missing: int | None = None, namel
         F.lit("</resumptionToken></ListRecords></OAI-PMH>"),
     )
     landed = customers if missing is None else customers.where(F.floor(k / PAGE_ROWS) != missing)
+    if lost is not None:
+        landed = landed.withColumn("page", F.floor(k / PAGE_ROWS)).where(~lost)
     return land_documents(
-        landed, page_number(k), k, item, f"{OAI.replace('>', WMDR + '>') if outer else OAI}<ListRecords>\n", tail, "records"
+        landed, page_number(k), k, item, f"{OAI.replace('>', WMDR + '>') if outer else OAI}<ListRecords>\n", tail, "records", apart
     )
 
 

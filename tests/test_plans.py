@@ -31,6 +31,39 @@ def test_time_range_reaches_the_scan(observations):
     assert "note" not in text
 
 
+def test_stored_observations_leave_out_days_and_series(spark, tmp_path):
+    """The written layout: folders by day, few series in a file, the id's Bloom filter in the footer."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from caudal import sinks, sources
+
+    rows = [(i % 40, dt.datetime(2020, 1, 1 + i % 5, i % 24), dt.datetime(2020, 1, 9), float(i)) for i in range(4000)] + [(1, None, None, 1.0)]
+    frame = spark.createDataFrame(rows, "series_id long, timestart timestamp, timeend timestamp, valor double").repartition(6)
+    path = str(tmp_path / "stored")
+    sinks.write_observations(frame, path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    kept = sources.read_observations(spark, path, series_id=[3, 4], timestart="2020-01-03", timeend="2020-01-04")
+    text = plan(kept)
+    assert "PartitionFilters: [isnotnull(day" in text and "In(series_id, [3,4])" in text
+    wanted = {(s, b, v) for s, b, _, v in rows if s in (3, 4) and b and b.day == 3}
+    assert {(r.series_id, r.timestart, r.valor) for r in kept.collect()} == wanted
+    assert spark.read.parquet(path).count() == len(rows)
+    # Split over more tasks, the files of a day hold ranges of series that meet at most at their ends.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.write_observations(frame.repartition(3), str(tmp_path / "split"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    several = 0
+    for day in glob.glob(str(tmp_path / "split" / "day=2020-*")):
+        ids = sorted(pq.read_table(f, columns=["series_id"], partitioning=None)["series_id"].to_pylist() for f in glob.glob(f"{day}/*.parquet"))
+        assert all(x == sorted(x) for x in ids) and all(a[-1] <= b[0] for a, b in zip(ids, ids[1:]))
+        several += len(ids) > 1
+    assert several
+
+
 def test_ranges_read_their_columns_only(observations):
     text = plan(statistics.date_ranges(observations))
     assert "ReadSchema: struct<series_id:bigint,timestart:timestamp,timeend:timestamp>" in text

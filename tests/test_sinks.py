@@ -125,9 +125,71 @@ def test_schema_location(spark, before, after):
     assert frame.select(with_schema_location(F.col("x")).alias("x")).collect()[0].x == after
 
 
+def files_of(folder):
+    return {f.name: f.read_bytes() for f in folder.iterdir() if not f.name.startswith((".", "_"))}
+
+
 def test_records_as_files(spark, tmp_path):
-    records = spark.createDataFrame([("id1", "<R>1</R>"), ("id2", "<R>2</R>"), ("id3", None)], "identifier string, metadata string")
+    """A file by identifier, whatever the identifier; of several records of one the latest; those without one by digest."""
+    unsafe, long = "oai:x/../y z*é?", "n" * 500
+    rows = [
+        ("id1", "2020-01-02", "<R>new</R>"), ("id1", "2020-01-01", "<R>old</R>"), ("id2", None, "<R>2</R>"), ("id3", "2020", None),
+        (unsafe, "2020", "<R>u</R>"), (long, "2020", "<R>l</R>"), (long + "m", "2020", "<R>m</R>"), ("..", "2020", "<R>d</R>"), ("_h", "2020", "<R>h</R>"),
+        (None, "2020", "<R>none</R>"), (None, "2020", "<R>other</R>"), ("", "2020", "<R>empty</R>"),
+    ]
+    records = spark.createDataFrame(rows, "identifier string, datestamp string, metadata string").repartition(4)
     sinks.write_records_xml(records, str(tmp_path / "files"), per_record=True)
-    assert sorted(d for d in os.listdir(tmp_path / "files") if d.startswith("identifier")) == ["identifier=id1", "identifier=id2"]
+    found = files_of(tmp_path / "files")
+    assert len(found) == 10 and b">new<" in found["id1.xml"] and b">2<" in found["id2.xml"]
+    assert b">u<" in found["oai%3Ax%2F..%2Fy%20z%2A%C3%A9%3F.xml"] and {"%2E..xml", "%5Fh.xml"} <= set(found)
+    assert sum(n.startswith("unnamed-") for n in found) == 3 and max(len(n) for n in found) <= 204
+    assert {v[v.index(b">") + 1 : -4] for v in found.values()} == {b"new", b"2", b"u", b"l", b"m", b"d", b"h", b"none", b"other", b"empty"}
+    assert (tmp_path / "files" / "_SUCCESS").read_text().startswith("10 files")
+    sinks.write_records_xml(records.limit(0), str(tmp_path / "files"), per_record=True)
+    assert files_of(tmp_path / "files") == {}
     sinks.write_records_xml(records, str(tmp_path / "table"))
-    assert spark.read.parquet(str(tmp_path / "table")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 11
+
+
+def test_a_task_that_runs_again_leaves_the_same_files(tmp_path):
+    import pyarrow as pa
+
+    from caudal.sinks.named import NamedFilesWriter
+
+    writer = NamedFilesWriter(str(tmp_path / "out"), True)
+    batch = pa.RecordBatch.from_pydict({"name": ["a.xml", "b.xml"], "value": [b"1", None]})
+
+    def fails():
+        yield batch.slice(0, 1)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        writer.write(fails())
+    writer.abort([])
+    assert files_of(tmp_path / "out") == {"a.xml": b"1"} and not (tmp_path / "out" / "_SUCCESS").exists()
+    told = [writer.write(iter([batch])), writer.write(iter([batch]))]
+    writer.commit(told[:1])
+    assert files_of(tmp_path / "out") == {"a.xml": b"1", "b.xml": b""}
+    assert sorted(f.name for f in (tmp_path / "out").iterdir()) == ["_SUCCESS", "a.xml", "b.xml"]
+    # More files for the same folder: the mark goes until they are there.
+    NamedFilesWriter(str(tmp_path / "out"), False)
+    assert sorted(f.name for f in (tmp_path / "out").iterdir()) == ["a.xml", "b.xml"]
+    for bad in ("a/b", "..", ""):
+        with pytest.raises(ValueError):
+            writer.write(iter([pa.RecordBatch.from_pydict({"name": [bad], "value": [b"1"]})]))
+
+
+def test_pages_are_copied_byte_for_byte(spark, tmp_path):
+    token = '<x><resumptionToken completeListSize="9" cursor="{}">t</resumptionToken>{}</x>'
+    pages = {
+        "one/p1.xml": token.format(5, "\r\n\xe9").encode("latin-1"), "one/p2.xml": token.format(9, "").encode(),
+        "two/p1.xml": token.format(5, "other").encode(), "two/p2.xml": token.format(9, "").encode(), "two/last page.xml": b"<x/>",
+    }
+    for name, data in pages.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(data)
+    sinks.write_named(sinks.page_copies(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+    found = files_of(tmp_path / "out")
+    assert sorted(found.values()) == sorted(set(pages.values()))
+    assert found["records_9.xml"] == pages["one/p2.xml"] and found["last%20page.xml"] == b"<x/>"
+    assert sum(n.startswith("records_5-") for n in found) == 2 and len(found) == 4

@@ -287,3 +287,22 @@ def test_metadata_that_declares_its_namespaces_stays_as_served(spark, tmp_path):
     body = '<w:R xmlns:w="u" a="&gt;"><record xmlns="urn:x"><name/></record></w:R>'
     page = f'<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><ListRecords><record><header><identifier>i</identifier></header><metadata>{body}</metadata></record></ListRecords></OAI-PMH>'
     assert [r.metadata for r in sources.read_records(spark, put(tmp_path, "p.xml", page)).collect()] == [body]
+
+
+def test_missing_stretches_of_a_harvest(spark, tmp_path):
+    def land(folder, name, ids, cursor=None, size=9, token="t"):
+        told = "" if cursor is None else f'<resumptionToken completeListSize="{size}" cursor="{cursor}">{token}{cursor}</resumptionToken>'
+        put(tmp_path / folder, name, PAGE.format(records="".join(record(i) for i in ids), token=told))
+
+    land("whole", "1.xml", [1, 2, 3], 3)
+    land("whole", "2.xml", [4, 5, 6], 6)
+    land("whole", "3.xml", [7, 8, 9])                                     # the last page tells no cursor
+    land("first", "2.xml", [3, 4], 4, 4)                                  # [0, 2) is missing
+    land("inner", "1.xml", [1, 2], 2)
+    land("inner", "1-again.xml", [1, 2], 2)                               # landed twice
+    land("inner", "3.xml", [4, 5, 6], 6)                                  # [2, 3) and [6, 9) are missing
+    land("unknown", "1.xml", [1])                                         # no size announced: nothing to miss
+    path = str(tmp_path / "*")
+    gaps = quality.missing_intervals(sources.read_records(spark, path), sources.read_page_tokens(spark, path)).collect()
+    found = sorted((g.harvest.rsplit("/", 1)[1], g.missing_from, g.missing_to, g.token) for g in gaps)
+    assert found == [("first", 0, 2, None), ("inner", 2, 3, "t2"), ("inner", 6, 9, "t6")]
