@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caudal import dictionaries as D
 from caudal.operators import filters, membership, quality, series, stations
 from caudal.plans.observations import observation_statistics, with_observation_statistics
-from caudal.sinks import stage, write_csv, write_steps
+from caudal.sinks import write_csv, write_scratch, write_steps
 
 
 @dataclass(frozen=True)
@@ -69,16 +69,14 @@ def write_tables_b(
 ) -> int:
     """Write locations, the full series table and the tables per step and quantity.
 
-    The series plan runs once, into a staged table all outputs are read from.
+    The series plan runs once, into a staged table; all tables of series are written by one job that reads it once.
     """
     counted, seen = quality.counted(tables.series, "series_b")
-    staged = stage(counted, "EXTERNAL_PARAMETER_ID", "series-b")
+    staged = write_scratch(counted, "series-b")
     rows = quality.require_rows(seen, "no series found")
-    write_csv(staged, f"{path}/series.csv", order_by=["STATION_ID", "EXTERNAL_PARAMETER_ID"])
     locations = membership.locations_with_series(tables.stations, staged)
     write_csv(locations, f"{path}/INA_locations.csv", order_by=["STATION_ID"])
     if variables is not None:
         write_csv(variables, f"{path}/variables.csv")
-    if separate or combined:
-        write_steps(staged, variables, path, separate, combined)
+    write_steps(staged, variables, path, separate, combined, whole="series.csv")
     return rows

@@ -1,12 +1,12 @@
 """Writers of output tables."""
 
 from caudal.sinks.files import (
-    stage, write_by_variable, write_csv, write_json, write_observations, write_records_xml, write_result, write_scratch,
+    write_by_variable, write_csv, write_json, write_observations, write_records_xml, write_result, write_scratch,
     write_steps,
 )
 from caudal.sinks.named import file_name, page_copies, records_as_files, write_named
 
 __all__ = [
-    "file_name", "page_copies", "records_as_files", "stage", "write_by_variable", "write_csv", "write_json", "write_named",
+    "file_name", "page_copies", "records_as_files", "write_by_variable", "write_csv", "write_json", "write_named",
     "write_observations", "write_records_xml", "write_result", "write_scratch", "write_steps",
 ]

@@ -6,14 +6,14 @@ everything through one task and is meant for small exports only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal import dictionaries as D
 from caudal import schemas as S
-from caudal.operators.series import conform, conform_b
 from caudal.session import scratch_dir
 from caudal.sinks.named import records_as_files, write_named
+from caudal.sinks.tables import Table, partition_folder, write_tables
 
 
 def _printable(df: DataFrame) -> DataFrame:
@@ -85,68 +85,68 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(df: DataFrame, column: str, label: str) -> DataFrame:
-    """The table written once, partitioned by ``column``, in the shared scratch folder.
-
-    Each output table then reads just its own partition instead of running the
-    whole plan again, and a lost executor costs only the files it was reading.
-    The rebalance hint gives small values few files and splits a large value.
-    """
-    path = scratch_dir(df.sparkSession, label)
-    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+def _conformed(rows: DataFrame, columns: list[str]) -> list[Column]:
+    """The columns of :func:`conform` as expressions, in the spelling of the tables."""
+    kinds = dict(rows.dtypes)
+    known = [F.col(f"`{c}`") if c in kinds else F.lit(None).cast(S.column_type(c)) for c in columns]
+    return [F.initcap(x.cast("string")) if kinds.get(c) == "boolean" else x for c, x in zip(columns, known, strict=True)]
 
 
 def write_by_variable(
     series: DataFrame, path: str, fixed: dict[str, list[str]] | None = None,
 ) -> None:
-    """One table per variable name (SNK-02, A-07).
+    """One table per variable name (SNK-02, A-07), all in one job.
 
     Variables with a fixed column list go to ``<path>/<name>.csv`` with exactly
     those columns.  All others keep their columns and go to
-    ``<path>/variableName=<name>``; the name is dropped from the files.
+    ``<path>/other/variableName=<name>``; the name is dropped from the files.
     """
     fixed = S.SERIES_COLUMNS if fixed is None else fixed
-    staged = stage(series, "variableName", "by-variable")
-    for name, columns in fixed.items():
-        rows = staged.filter(F.col("variableName") == name).drop("variableName")
-        write_csv(conform(rows, columns), f"{path}/{name}.csv")
+    name, rest = F.col("variableName"), [c for c in series.columns if c != "variableName"]
+    tables = [Table(f"{n}.csv", name == n, _conformed(series, columns), columns) for n, columns in fixed.items()]
     # A row without a name is in no fixed table either.
-    rest = staged.filter(F.coalesce(~F.col("variableName").isin(list(fixed)), F.lit(True))) if fixed else staged
-    write_csv(
-        rest.hint("rebalance", "variableName"), f"{path}/other", partition_by=["variableName"]
-    )
+    others = F.coalesce(~name.isin(list(fixed)), F.lit(True)) if fixed else F.lit(True)
+    tables.append(Table(partition_folder("other", "variableName", name), others, _conformed(series, rest), rest))
+    order = [c for c in ("STATION_ID", "EXTERNAL_PARAMETER_ID") if c in series.columns]
+    write_tables(series, path, tables, order, cleared=["other"])
 
 
 def write_steps(
     series: DataFrame, variables: DataFrame | None, path: str, separate: bool = True, combined: bool = True,
+    whole: str | None = None,
 ) -> None:
-    """Catalogue B tables per variable and time step, then per quantity (SNK-03, U-02).
+    """Catalogue B tables per variable and time step, per quantity (SNK-03, U-02) and as a ``whole``, all in one job.
 
-    Variables outside the known file names are written as
-    ``<path>/other/name=<nombre>``, named by the variable table.  Every output
-    reads ``series`` again, so hand over a table from :func:`stage` where it is
-    costly.
+    Variables outside the known file names are written as ``<path>/other/name=INA_<nombre>``, named by the variable
+    table, or by their id where it does not name them.
     """
-    order = ["STATION_ID", "EXTERNAL_PARAMETER_ID"]
-    variable = F.col("EXTERNAL_PARAMETER_ID")
+    variable, rows = F.col("EXTERNAL_PARAMETER_ID"), series
+    tables: list[Table] = []
+    if whole:
+        tables.append(Table(whole, F.lit(True), _conformed(series, series.columns), series.columns))
+
+    def quantity(folder: str, where: Column, name: str) -> Table:
+        columns = S.SERIES_COLUMNS[name]
+        median = series.withColumn("THRESHOLD_MEAN", F.lit(None).cast("double")) if "THRESHOLD_MEAN" not in series.columns else series
+        values = dict(zip(columns, _conformed(median, columns), strict=True))
+        # The mean threshold is the median there (P-14).
+        values["THRESHOLD_MEAN"] = F.col("THRESHOLD_P50") if "THRESHOLD_P50" in series.columns else F.lit(None).cast("double")
+        return Table(folder, where, [values[c] for c in columns], columns)
+
     if separate:
-        for variable_id, name in D.TABLE_BY_VARIABLE.items():
-            rows = conform_b(series.filter(variable == variable_id), D.CONFORMED_VARIABLES[variable_id])
-            write_csv(rows, f"{path}/{name}.csv", order_by=order)
+        known = list(D.TABLE_BY_VARIABLE)
+        tables += [quantity(f"{name}.csv", variable == i, D.CONFORMED_VARIABLES[i]) for i, name in D.TABLE_BY_VARIABLE.items()]
+        label = variable.cast("string")
         if variables is not None:
-            rest = series.filter(F.coalesce(~variable.isin(list(D.TABLE_BY_VARIABLE)), F.lit(True)))
-            names = variables.select(
-                F.col("id").alias("EXTERNAL_PARAMETER_ID"),
-                F.concat(F.lit("INA_"), F.col("nombre")).alias("name"),
-            )
-            # A variable that the table does not name goes to the folder of the NULL name.
-            named = rest.join(names, "EXTERNAL_PARAMETER_ID", "left")
-            write_csv(named.hint("rebalance", "name"), f"{path}/other", partition_by=["name"])
+            names = variables.groupBy(F.col("id").alias("_variable")).agg(F.min("nombre").alias("_nombre"))
+            rows = series.join(names, variable == F.col("_variable"), "left")
+            label = F.coalesce("_nombre", label)
+        others = F.coalesce(~variable.isin(known), F.lit(True))
+        folder = partition_folder("other", "name", F.concat(F.lit("INA_"), label))
+        tables.append(Table(folder, others, _conformed(series, series.columns), series.columns))
     if combined:
-        for name, (table, ids) in D.COMBINED_TABLES.items():
-            rows = conform_b(series.filter(variable.isin(ids)), table)
-            write_csv(rows, f"{path}/{name}.csv", order_by=order)
+        tables += [quantity(f"{name}.csv", variable.isin(ids), table) for name, (table, ids) in D.COMBINED_TABLES.items()]
+    write_tables(rows, path, tables, ["STATION_ID", "EXTERNAL_PARAMETER_ID"], cleared=["other"] if separate else [])
 
 
 def with_schema_location(metadata) -> "Column":  # noqa: F821

@@ -23,6 +23,13 @@ DONE = "_SUCCESS"
 LONGEST = 200
 
 
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:").rstrip("/")
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """What a task has to say: two numbers, whatever it wrote."""
@@ -41,20 +48,15 @@ class NamedFilesWriter(DataSourceArrowWriter):
 
     def __init__(self, path: str, overwrite: bool):
         self.path = path
-        store, root = self._store()
+        store, root = store_of(path)
         store.create_dir(root, recursive=True)
         if overwrite:
             store.delete_dir_contents(root)
         elif store.get_file_info(f"{root}/{DONE}").type != fs.FileType.NotFound:
             store.delete_file(f"{root}/{DONE}")
 
-    def _store(self) -> tuple[fs.FileSystem, str]:
-        if "://" in self.path:
-            return fs.FileSystem.from_uri(self.path)
-        return fs.LocalFileSystem(), self.path.removeprefix("file:")
-
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        store, root = self._store()
+        store, root = store_of(self.path)
         files = size = 0
         for batch in iterator:
             names, values = batch.column("name").to_pylist(), batch.column("value").cast(pa.binary()).to_pylist()
@@ -69,7 +71,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
         return Written(files, size)
 
     def commit(self, messages: list[Written | None]) -> None:
-        store, root = self._store()
+        store, root = store_of(self.path)
         told = [m for m in messages if m is not None]
         with store.open_output_stream(f"{root}/{DONE}") as out:
             out.write(f"{sum(m.files for m in told)} files, {sum(m.size for m in told)} bytes\n".encode())

@@ -793,6 +793,55 @@ def job_tables_b_written(spark: SparkSession, sf: str) -> DataFrame:
     return series.combine_steps(parts)
 
 
+@query("job_tables_b_complete", with_(STATIONS_B, SERIES_B, MONTHLY, PERCENTILES, BASINS) + f""", good AS (
+  SELECT sb.*, basin FROM sb LEFT JOIN lo USING (k) WHERE pais = 'Argentina' AND k % 10 <> 3 AND k % 10 <> 4 AND k % 14 <> 0
+    AND k % 9 > 1 AND k <> 5),
+job AS (
+  SELECT eb.k, var, basin, mean_jan, p95, p50, id FROM eb JOIN good USING (k) JOIN pe USING (id)
+    LEFT JOIN (SELECT id, mean AS mean_jan FROM mo WHERE mon = 0) USING (id)
+  WHERE k % 3 IN (0, 1) AND last_ >= TIMESTAMP '2001-09-01' - INTERVAL 180 DAY),
+written AS (
+  SELECT 'series.csv' AS "table", * FROM job
+  UNION ALL SELECT CASE var {' '.join(f"WHEN {i} THEN '{n}.csv'" for i, n in D.TABLE_BY_VARIABLE.items())}
+    ELSE 'other/INA_' || coalesce(p_name, CAST(var AS VARCHAR)) END, job.* FROM job LEFT JOIN part ON p_partkey = var
+  UNION ALL SELECT t, job.* FROM job JOIN (VALUES {', '.join(f"('{n}.csv', {i})" for n, (_, ids) in D.COMBINED_TABLES.items() for i in ids)}) v(t, i) ON i = var)
+SELECT "table", CAST(k AS VARCHAR) AS "STATION_ID", CAST(var AS VARCHAR) AS "EXTERNAL_PARAMETER_ID", basin AS "SUBBASIN", round(p95, 6) AS "THRESHOLD_P95",
+  CASE WHEN "table" = 'series.csv' OR "table" LIKE 'other/%' THEN round(mean_jan, 6) END AS "THRESHOLD_jan_mean",
+  CASE WHEN "table" = 'series.csv' OR "table" LIKE 'other/%' THEN NULL ELSE round(p50, 6) END AS "THRESHOLD_MEAN"
+FROM written
+UNION ALL SELECT 'INA_locations.csv', CAST(k AS VARCHAR), NULL, basin, NULL, NULL, NULL FROM good WHERE k IN (SELECT k FROM job)
+UNION ALL SELECT 'variables.csv', CAST(p_partkey AS VARCHAR), p_name, NULL, NULL, NULL, NULL FROM part""")
+def job_tables_b_complete(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-03 with basins, monthly statistics, separate tables and the variable table: every file that it writes, read back."""
+    path = scratch_dir(spark, "tables-b")
+    tables = make_tables_b(
+        V.stations_b(spark, sf), V.series_b(spark, sf), "2001-09-01", V.basins(spark, sf), excluded=EXCLUDED,
+        station_filter={"pais": "Argentina", "has_obs": True, "habilitar": True}, variable_ids=[*D.DEFAULT_VARIABLE_IDS, 999],
+        monthly_stats=True, observations=V.observations(spark, sf),
+    )
+    write_tables_b(tables, V.variables_b(spark, sf), path)
+    shown = ["STATION_ID", "EXTERNAL_PARAMETER_ID", "SUBBASIN", "THRESHOLD_P95", "THRESHOLD_jan_mean", "THRESHOLD_MEAN"]
+
+    def back(rows: DataFrame, name) -> DataFrame:
+        typed = [F.round(F.col(c).cast("double"), 6).alias(c) if c.startswith("THRESHOLD") else F.col(c) for c in shown]
+        return series.conform(rows, [*shown, "name"]).select(F.lit(name).alias("table") if isinstance(name, str) else name.alias("table"), *typed)
+
+    files = {n: D.CONFORMED_VARIABLES[i] for i, n in D.TABLE_BY_VARIABLE.items()} | {n: q for n, (q, _) in D.COMBINED_TABLES.items()}
+    parts = [back(sources.read_series_csv(spark, f"{path}/{n}.csv", S.SERIES_COLUMNS[q]), f"{n}.csv") for n, q in files.items()]
+
+    def text(name: str) -> DataFrame:
+        return spark.read.option("header", True).option("escape", '"').csv(f"{path}/{name}")
+
+    whole = tables.series.columns
+    parts.append(back(text("series.csv").drop("THRESHOLD_MEAN"), "series.csv"))
+    schema = ", ".join(f"`{c}` string" for c in [*whole, "name"])
+    other = spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{path}/other")
+    parts.append(back(other.drop("THRESHOLD_MEAN"), F.concat(F.lit("other/"), F.col("name"))))
+    parts.append(back(text("INA_locations.csv"), "INA_locations.csv"))
+    variables = text("variables.csv").select(F.col("id").alias("STATION_ID"), F.col("nombre").alias("EXTERNAL_PARAMETER_ID"))
+    return series.combine_steps([*parts, back(variables, "variables.csv")])
+
+
 # ---- landed files -----------------------------------------------------------------------
 
 

@@ -193,3 +193,36 @@ def test_pages_are_copied_byte_for_byte(spark, tmp_path):
     assert sorted(found.values()) == sorted(set(pages.values()))
     assert found["records_9.xml"] == pages["one/p2.xml"] and found["last%20page.xml"] == b"<x/>"
     assert sum(n.startswith("records_5-") for n in found) == 2 and len(found) == 4
+
+
+def test_all_tables_are_written_by_one_job_in_order(spark, tmp_path):
+    """One scan of the rows; every table in order over its part files, and again the same when the job runs again."""
+    rows = [(i % 97, v, float(i)) for i, v in enumerate([1, 31, 34, 39, 40, 85, 101, 2, 4, None] * 60)]
+    staged = sinks.write_scratch(spark.createDataFrame(rows, "STATION_ID int, EXTERNAL_PARAMETER_ID int, THRESHOLD_P50 double").repartition(5), "rows")
+    read = spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for _ in range(2):
+            spark.sparkContext.setJobGroup("tables", "tables")
+            sinks.write_steps(staged, None, str(tmp_path), whole="series.csv")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Per write: one job that samples the ranges, one that writes.
+    assert len(read.getJobIdsForGroup("tables")) <= 4
+    whole = [(int(r[0]), r[1]) for name in sorted(glob.glob(f"{tmp_path}/series.csv/part-*")) for r in list(csv.reader(open(name)))[1:]]
+    assert len(whole) == 600 and whole == sorted(whole, key=lambda r: (r[0], int(r[1] or -1)))
+    assert len(glob.glob(f"{tmp_path}/series.csv/part-*")) > 1
+    # Variables without a file name of their own, also without a variable table.
+    assert sorted(os.listdir(tmp_path / "other")) == ["name=INA_2", "name=INA_4", "name=__HIVE_DEFAULT_PARTITION__"]
+    assert all(len(lines(f"{tmp_path}/other/{n}")) == 60 for n in os.listdir(tmp_path / "other"))
+    assert len(lines(f"{tmp_path}/INA_P_all.csv")) == 180 and os.path.exists(tmp_path / "INA_P_all.csv" / "_SUCCESS")
+    assert not glob.glob(f"{tmp_path}/*/_part-*") and not glob.glob(f"{tmp_path}/other/*/_part-*")
+
+
+def test_names_of_any_kind_become_folders(spark, tmp_path):
+    names = ["plain", "a b", "x/y", "50%", "k=v", "tab\there", "ñandú", 'q"q', ""]
+    frame = spark.createDataFrame([(n, i) for i, n in enumerate(names)] + [(None, 99)], "variableName string, STATION_ID int")
+    sinks.write_by_variable(frame, str(tmp_path), {})
+    found = spark.read.option("header", True).option("inferSchema", False).csv(f"{tmp_path}/other")
+    assert {(r.variableName, int(r.STATION_ID)) for r in found.collect()} == {(n or None, i) for i, n in enumerate(names)} | {(None, 99)}
