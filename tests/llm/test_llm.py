@@ -326,7 +326,7 @@ def test_main_text(llm):
 
 def test_tree_tells_its_table():
     tree = blocks.grow()
-    assert sum(tree.tell(row[:-1]) == bool(row[-1]) for row in blocks.LABELLED) / len(blocks.LABELLED) > 0.95
+    assert sum(tree.tell(row[:-1]) == bool(row[-1]) for row in blocks.labelled()) / len(blocks.labelled()) > 0.95
 
 
 def test_articles_of_the_pages(llm, sf):
