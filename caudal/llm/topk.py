@@ -23,16 +23,18 @@ _NONE = -(2**62)
 
 
 def scaled(vectors: DataFrame, scale: int = 1024) -> DataFrame:
-    """``vec_id, v``: components times ``scale``, rounded down to integers.
+    """``vec_id, v, n``: components times ``scale``, rounded down to integers, and the number of rows equal in id and vector.
 
-    Rows without an id or vector, and vectors holding NULL or non-finite components, take no part.  Rows equal in id and
-    vector count as one; different vectors under one id each stay.  Shorter vectors are filled up with zeros.
+    Rows without an id or vector, and vectors holding NULL or non-finite components, take no part.  Nor do vectors whose
+    length, scaled, is 2**31 or more: only between such can a score leave the range of a long.  Different vectors under one
+    id each stay.  Shorter vectors are filled up with zeros.
     """
-    x = F.transform("embedding", lambda c: c.cast("double"))
+    x = F.transform("embedding", lambda c: c.cast("double") * scale)
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
-    v = F.transform(x, lambda c: F.floor(c * scale).cast("long"))
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).distinct()
+    square = F.reduce(x, F.lit(0.0), lambda a, c: a + F.pow(F.floor(F.when(F.abs(c) < 2.0**32, c).otherwise(2.0**32)).cast("double"), 2))
+    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine & (square < 2.0**62))
+    v = F.transform(x, lambda c: F.floor(F.when(F.abs(c) < 2.0**32, c).otherwise(0.0)))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -86,6 +88,7 @@ def _collect(lists: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out = []
         q_ids, r_ids = queries["query_id"].to_numpy(), rows["vec_id"].to_numpy()
+        q_n, r_n = queries["n"].to_numpy(), rows["n"].to_numpy()
         if len(q_ids) and len(r_ids):
             cutoff = queries["cutoffs"].combine_chunks().flatten().to_numpy().reshape(-1, lists)
             least = queries["least"].to_numpy()
@@ -97,8 +100,9 @@ def _collect(lists: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 a, b = np.nonzero(enough & ~own)
                 total = sum(p[a, b] for p in partials)
                 kept = total >= least[n][a]
-                out.append((q_ids[n][a[kept]], r_ids[b[kept]], total[kept]))
-        return _table(out, ["query_id", "vec_id", "score"])
+                a, b = a[kept], b[kept]
+                out.append((q_ids[n][a], r_ids[b], total[kept], q_n[n][a] * r_n[b]))
+        return _table(out, ["query_id", "vec_id", "score", "n"])
 
     return run
 
@@ -111,9 +115,10 @@ def _table(out: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.Table:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LISTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k highest inner products, ties to the smaller id.
 
-    Both frames have ``vec_id, v`` as :func:`scaled` gives them; a query's own id is no candidate.  Several vectors under
-    one id are candidates each by itself; as queries they share one ranking.  A score is the sum of one partial score per
-    list (slice of the components).
+    Both frames have ``vec_id, v, n`` as :func:`scaled` gives them; a query's own id is no candidate.  Several vectors under
+    one id are candidates each by itself; as queries they share one ranking, where a pair of rows stands once for each row of either
+    side: a row that occurs ``n`` times holds ``n`` ranks.  Fewer candidates than k give fewer ranks, an empty table none; other columns
+    of the vectors are never read.  A score is the sum of one partial score per list (slice of the components).
     1. Each list of a cell names its highest rows; the cell sends the k best totals of these and each list's lowest score.
        The k-th best total of all cells is safe: k rows reach it.
     2. That total, counted from the lowest scores and shared evenly over the lists, is the cutoff: a row below it in every
@@ -125,8 +130,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
     size = max([0, *(r[0] or 0 for r in (vectors.agg(F.max(F.size("v"))).first(), queries.agg(F.max(F.size("v"))).first()))])
     whole = F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(size) - F.size("v"))).alias("v")
     same = Window.partitionBy("v").orderBy("vec_id")
-    rows = stage(vectors.select("vec_id", whole).withColumn("nth", F.dense_rank().over(same)).where(F.col("nth") <= k + 1).drop("nth"), "vectors")
-    asked = stage(queries.select(F.col("vec_id").alias("query_id"), whole), "queries")
+    rows = stage(vectors.select("vec_id", whole, "n").withColumn("nth", F.dense_rank().over(same)).where(F.col("nth") <= k + 1).drop("nth"), "vectors")
+    asked = stage(queries.select(F.col("vec_id").alias("query_id"), whole, "n"), "queries")
     n_q, n_r = (max(1, math.ceil(f.count() / block)) for f, block in ((asked, QUERY_BLOCK), (rows, ROW_BLOCK)))
     if not size:
         lists = 1
@@ -152,6 +157,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
         .withColumn("share", F.expr(f"(least - base + {lists - 1}) div {lists}"))
         .select("query_id", "least", F.transform("by_list.low", lambda low: low + F.col("share")).alias("cutoffs"))
     )
-    scores = meet(asked.join(cutoffs, "query_id"), _collect(lists), "query_id long, vec_id long, score long")
-    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scores.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scores = meet(asked.join(cutoffs, "query_id"), _collect(lists), "query_id long, vec_id long, score long, n long")
+    # Equal rows hold as many ranks as there are of them.
+    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = scores.withColumn("before", F.coalesce(F.sum("n").over(final), F.lit(0))).where(F.col("before") < k)
+    ranks = F.sequence((F.col("before") + 1).cast("int"), F.least(F.col("before") + F.col("n"), F.lit(k)).cast("int"))
+    return placed.select("query_id", F.explode(ranks).alias("rank"), "vec_id", "score")
