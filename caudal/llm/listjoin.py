@@ -9,6 +9,8 @@ from caudal.llm.common import free_name
 
 #: An open interval ends here.
 FOREVER = "9999-12-31"
+#: Captures of one key and hour are dealt to so many groups; the key's entries of the hour go to each.
+SPREAD = 8
 
 
 def host(url: Column) -> Column:
@@ -53,10 +55,11 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
     Keys are a host or domain (it covers the hosts below it) or ``host/folder``.  Of the active entries of a capture the
     longest key decides; without any the capture is not blocked and the key is NULL.  An entry holds from its own instant
     (see :func:`instants`) to the key's next one; ``list_since`` is that instant.
-    Captures fold to distinct (host, folder, instant) before the as-of join.  Keys meet entries by day: the captures and
-    entries of a key and day are gone through once in order of time, from what held at the start of the day, so a hot
-    site is spread over its days and no capture meets every entry.  What held at the start meets days by month, so a
-    long history is not scanned for each day.  The verdicts then join the captures.
+    Captures fold to distinct (host, folder, instant) before the as-of join, and of their keys only those with an entry go on:
+    a suffix that all hosts share costs nothing unless a list names it.  What held at the start of a day meets the days by
+    month, so a long history is not scanned for each day; what held at the start of an hour follows from at most 24 rows
+    a key and day.  The captures and entries of a key and hour are then gone through once in order of time, the captures dealt to
+    ``SPREAD`` groups, so a key that holds most captures is spread over hours and groups.  The verdicts then join the captures.
     A NULL or unreadable URL or time matches no entry; repeated captures each keep a row; columns that have the
     name of a result are kept and the result gets an underscore; empty tables give no or unblocked rows.
     """
@@ -67,23 +70,39 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
     labels = F.split("h", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     keys = F.when(F.col("p") != "", F.concat(suffixes, F.array(F.concat_ws("/", "h", "p")))).otherwise(suffixes)
-    asked = sites.select("h", "p", "at", F.to_date("at").alias("on"), F.explode(keys).alias("key"))
-    days = asked.select("key", "on", F.trunc("on", "month").alias("month")).distinct()
     points = instants(entries)
+    asked = sites.select("h", "p", "at", F.to_date("at").alias("on"), F.date_trunc("hour", "at").alias("hour"), F.explode(keys).alias("key"))
+    # Dealt by group too, so that a suffix of very many hosts is not one key of the join.
+    every = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    asked = asked.withColumn("group", F.pmod(F.xxhash64("h", "p", "at"), F.lit(SPREAD)).cast("int"))
+    asked = asked.join(points.select("key").distinct().withColumn("group", every), ["key", "group"], "left_semi")
+    days = asked.select("key", "on", F.trunc("on", "month").alias("month")).distinct()
     # Open ends reach as far as the captures do.
     last = sites.agg(F.to_date(F.max("at")).alias("last"))
     held = carried(points).join(F.broadcast(last), F.col("first") <= F.col("last"))
     months = F.explode(F.sequence(F.trunc("first", "month"), F.trunc(F.least(F.date_sub("until", 1), "last"), "month"), F.expr("INTERVAL 1 MONTH")))
     by_month = held.select("key", "action", "since", "first", "until", months.alias("month"))
     opened = days.join(by_month, ["key", "month"]).where("first <= on AND on < until")
-    # Of one instant: what the day began with, then the entry, then the captures.
-    entry, nobody = F.struct("action", "since"), F.lit(None).cast("string")
+    # Of one instant: what held before, then the entry, then who asks.
+    entry, nothing = F.struct("action", "since"), F.lit(None).cast("struct<action:string,since:timestamp>")
+    hourly = points.groupBy("key", F.date_trunc("hour", "at").alias("of")).agg(F.max_by(F.struct("action", F.col("at").alias("since")), "at").alias("entry"))
+    hours = asked.select("key", "on", "hour").distinct()
+    states = (
+        opened.select("key", "on", F.col("on").cast("timestamp").alias("hour"), F.lit(0).alias("turn"), entry.alias("entry"))
+        # An hour's last entry holds from the next hour on, if that is of the same day.
+        .union(hourly.select("key", F.to_date("of"), F.col("of") + F.expr("INTERVAL 1 HOUR"), F.lit(1), "entry"))
+        .union(hours.select("key", "on", "hour", F.lit(2), nothing))
+    )
+    of_day = Window.partitionBy("key", "on").orderBy("hour", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    at_hour = states.withColumn("entry", F.last("entry", ignorenulls=True).over(of_day)).where("turn = 2").select("key", "hour", "entry")
+    nobody = F.lit(None).cast("string")
+    in_hour = points.withColumn("since", F.col("at")).withColumn("hour", F.date_trunc("hour", "at")).join(hours.select("key", "hour"), ["key", "hour"], "left_semi")
     rows = (
-        opened.select("key", "on", F.col("on").cast("timestamp").alias("at"), F.lit(0).alias("turn"), entry.alias("entry"), nobody.alias("h"), nobody.alias("p"))
-        .union(points.withColumn("since", F.col("at")).select("key", F.to_date("at"), "at", F.lit(1), entry, nobody, nobody))
-        .union(asked.select("key", "on", "at", F.lit(2), F.lit(None).cast("struct<action:string,since:timestamp>"), "h", "p"))
+        at_hour.select("key", "hour", every.alias("group"), F.col("hour").alias("at"), F.lit(0).alias("turn"), "entry", nobody.alias("h"), nobody.alias("p"))
+        .union(in_hour.select("key", "hour", every, "at", F.lit(1), entry, nobody, nobody))
+        .union(asked.select("key", "hour", "group", "at", F.lit(2), nothing, "h", "p"))
     )
-    so_far = Window.partitionBy("key", "on").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("key", "hour", "group").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
     known = rows.withColumn("entry", F.last("entry", ignorenulls=True).over(so_far)).where("turn = 2 AND entry.action <> 'withdraw'")
     longest = F.struct(F.length("key").alias("n"), "key", F.col("entry.action").alias("action"), F.col("entry.since").alias("since"))
     verdicts = known.groupBy("h", "p", "at").agg(F.max(longest).alias("one"))

@@ -58,42 +58,6 @@ def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), 1024, kept=1_000_000)
 
 
-_OP4_SQL = r"""
-WITH entry AS (
-  SELECT e.event_id, e.ts, CAST(e.ts AS DATE) AS day,
-    CASE e.event_type WHEN 'signup' THEN 'withdraw' WHEN 'purchase' THEN 'allow' ELSE 'block' END AS action,
-    e.event_type, lower(regexp_extract(p.url, '://([^/:?#]+)', 1)) AS host, regexp_extract(p.url, '://[^/?#]*/([^/?#]+)', 1) AS folder
-  FROM events e JOIN pages p ON p.page_id = e.user_id
-), keyed AS (
-  SELECT event_id, ts, day, action, CASE
-    WHEN event_type IN ('click', 'view', 'signup') AND folder <> '' THEN host || '/' || folder
-    WHEN event_type = 'purchase' THEN host
-    ELSE regexp_replace(host, '^(www|m|blog)\.', '') END AS key
-  FROM entry
-), capture AS (
-  SELECT page_id, url, TIMESTAMP '2024-01-01' + INTERVAL 1 MINUTE * CAST(page_id * 37 % 43200 AS INTEGER) AS fetched_at,
-    lower(regexp_extract(url, '://([^/:?#]+)', 1)) AS host, regexp_extract(url, '://[^/?#]*/([^/?#]+)', 1) AS folder
-  FROM pages
-), site AS (SELECT DISTINCT host, folder, CAST(fetched_at AS DATE) AS day FROM capture),
-part AS (SELECT host, folder, day, string_split(host, '.') AS labels FROM site),
-asked AS (
-  SELECT host, folder, day, unnest([array_to_string(labels[i:], '.') FOR i IN range(1, len(labels) + 1)]) AS key FROM part
-  UNION ALL SELECT host, folder, day, host || '/' || folder FROM part WHERE folder <> ''
-), daily AS (
-  SELECT key, day, arg_max(action, (ts, event_id)) AS action FROM keyed GROUP BY key, day
-), dated AS (
-  SELECT a.host, a.folder, a.day, a.key, arg_max(k.action, k.day) AS action, max(k.day) AS since
-  FROM asked a JOIN daily k ON k.key = a.key AND k.day <= a.day GROUP BY a.host, a.folder, a.day, a.key
-), verdict AS (
-  SELECT host, folder, day, arg_max(action, (length(key), key)) AS action, arg_max(key, (length(key), key)) AS list_key,
-    arg_max(since, (length(key), key)) AS list_since
-  FROM dated WHERE action <> 'withdraw' GROUP BY host, folder, day
-)
-SELECT c.page_id, c.url, CAST(c.fetched_at AS DATE) AS fetched, coalesce(v.action = 'block', false) AS blocked, v.list_key, v.list_since
-FROM capture c LEFT JOIN verdict v ON v.host = c.host AND v.folder = c.folder AND v.day = CAST(c.fetched_at AS DATE)
-"""
-
-
 def _op4_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Captures, and the entries at their instant.
 
@@ -116,14 +80,6 @@ def _op4_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return pages.withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp") + minute), entries
 
 
-@_query("op4_temporal_lists", _OP4_SQL)
-def op4_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operator 4 by whole days, as its SQL has it: the last entry of a key and day holds for all captures of that day."""
-    captures, entries = _op4_tables(spark, sf_dir)
-    judged = listjoin.judge(captures.withColumn("fetched", F.to_date("fetched_at")), entries.withColumn("day", F.to_date("day")), fetched="fetched")
-    return judged.select("page_id", "url", "fetched", "blocked", "list_key", F.to_date("list_since").alias("list_since"))
-
-
 _OP4_FETCH_SQL = r"""
 WITH entry AS (
   SELECT e.event_id, e.ts, e.event_type,
@@ -206,18 +162,19 @@ def op8_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP9_SQL = r"""
 WITH split AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+  SELECT row_number() OVER () AS nth, doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), line AS (
-  SELECT doc_id, i, lines[i] AS line,
+  SELECT nth, doc_id, md5(text) AS text, i, lines[i] AS line,
     translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM split)
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM split)
 ), bad AS (
-  SELECT key FROM line WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  -- Rows of one id and text are one document.
+  SELECT key FROM line WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row(doc_id, text)) >= 10
 )
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad.key IS NOT NULL) AS n_dropped,
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (bad.key IS NOT NULL) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (bad.key IS NULL), '')) AS kept_sha256
-FROM line LEFT JOIN bad USING (key) GROUP BY doc_id
+FROM line LEFT JOIN bad USING (key) GROUP BY nth
 """
 
 
