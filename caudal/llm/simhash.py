@@ -171,20 +171,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     return marked.join(named, "fingerprint").select("d", "t", "doc_id", "fingerprint", "component_id", "root")
 
 
-def representatives(found: DataFrame, by: str = "component_id") -> DataFrame:
-    """``d, t``: the one document of each group that stays, the smallest id (then text hash); see :func:`keep_one` for ``by``."""
-    return found.groupBy(by).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "d", "t")).alias("one")).select("one.d", "one.t")
+def representatives(found: DataFrame) -> DataFrame:
+    """``d, t``: the one document of each component that stays, the smallest id (then text hash)."""
+    return found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "d", "t")).alias("one")).select("one.d", "one.t")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, by: str = "component_id") -> DataFrame:
-    """The documents, all columns as they are, with one row of each group (see :func:`near_duplicates`).
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, by: str = "root") -> DataFrame:
+    """The documents, all columns as they are, with one row of each component (see :func:`near_duplicates`).
 
-    Groups are the components with ``by="root"``.  With ``by="component_id"`` components that share their smallest id,
-    or have none, count as one, and unrelated documents go.
+    Components that share their smallest id, or have none, each keep one.
     The one of smallest id (NULL last), then text hash, stays; of rows equal in both, the first by the other columns.
     """
     key = row_key(docs)
-    one = representatives(near_duplicates(docs, shingle, radius), by).select(*[F.col(c).alias(n) for c, n in zip("dt", key, strict=True)])
+    one = representatives(near_duplicates(docs, shingle, radius)).select(*[F.col(c).alias(n) for c, n in zip("dt", key, strict=True)])
     nth = free_name([*docs.columns, *key], "nth")
     order = [F.col(f.name) for f in docs.schema.fields if f.dataType.typeName() != "map"]
     same = Window.partitionBy(*key).orderBy(*order)

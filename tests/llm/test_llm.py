@@ -104,12 +104,12 @@ def test_simhash_matches_brute_force(llm, sf):
 def test_simhash_edges(llm):
     rows = edge_rows()
     found = simhash.near_duplicates(frame(llm, rows), 3, 3)
-    found = found.select("doc_id", hex64(found["fingerprint"]).alias("p"), "component_id").collect()
+    found = found.select("doc_id", hex64(found["fingerprint"]).alias("p"), "component_id", "root").collect()
     assert collections.Counter((r.doc_id, r.p) for r in found) == collections.Counter((d, f"{brute_print(t):016x}") for d, t in rows)
     assert {r.component_id for r in found if r.p == "0" * 16} == {1}
     kept = simhash.keep_one(frame(llm, rows), 3, 3)
     assert kept.columns == frame(llm, rows).columns
-    assert kept.count() == len({r.component_id for r in found})
+    assert kept.count() == len({r.root for r in found})
     assert simhash.near_duplicates(frame(llm, []), 3, 3).count() == 0
 
 
