@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -21,12 +20,9 @@ def observed_rows(observation: Observation) -> int:
     """Row count of a finished stage.
 
     Where the optimizer proves a stage empty it removes the counter with it, so
-    a finished job without a metric means no rows.
+    a finished job without the metric means no rows.  Any other error is one.
     """
-    try:
-        return observation.get["rows"]
-    except (KeyError, Py4JJavaError):
-        return 0
+    return observation.get.get("rows", 0)
 
 
 def require_rows(observation: Observation, message: str) -> int:
