@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from caudal.functions.times import instant
+
 
 class NoRows(RuntimeError):
     """A stage that must produce rows produced none."""
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows that pass this point as a by-product of the job that reads them."""
+def counted(df: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Observation]:
+    """Count the rows that pass this point, and further aggregates, as a by-product of the job that reads them."""
     observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+    aggregates = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]]
+    return df.observe(observation, *aggregates), observation
 
 
-def observed_rows(observation: Observation) -> int:
-    """Row count of a finished stage.
+def observed_rows(observation: Observation, metric: str = "rows") -> int:
+    """Row count (or another count) of a finished stage.
 
     Where the optimizer proves a stage empty it removes the counter with it, so
     a finished job without the metric means no rows.  Any other error is one.
     """
-    return observation.get.get("rows", 0)
+    return observation.get.get(metric, 0)
 
 
 def require_rows(observation: Observation, message: str) -> int:
@@ -33,6 +36,23 @@ def require_rows(observation: Observation, message: str) -> int:
     return rows
 
 
+def unreadable(text: Column) -> Column:
+    """Whether a text that should be an instant is none (F-06, F-07 leave such a series out)."""
+    return text.isNotNull() & instant(text).isNull()
+
+
+def instant_counts(rows: DataFrame, instants: dict[str, Column]) -> DataFrame:
+    """(field, rows, missing, unreadable) of every named instant: what a filter on it drops beside what is too old."""
+    counts = [
+        F.struct(
+            F.lit(name).alias("field"), F.count(F.lit(1)).alias("rows"), F.count_if(text.isNull()).alias("missing"),
+            F.count_if(unreadable(text)).alias("unreadable"),
+        )
+        for name, text in instants.items()
+    ]
+    return rows.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
 def completeness(records: DataFrame, tokens: DataFrame) -> DataFrame:
     """(harvest, records, expected, last_cursor, complete) per landing folder (A-12).
 

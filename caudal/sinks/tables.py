@@ -119,7 +119,7 @@ class CsvTables(DataSource):
 
 
 def write_tables(rows: DataFrame, path: str, tables: list[Table], order_by: list[str], cleared: list[str] | None = None) -> None:
-    """All tables in one pass over ``rows``, whose plan runs once.
+    """All tables by one write.  ``rows`` are read to sample the ranges and to write, so a costly plan is better staged before.
 
     Each row is turned into the lines of the tables it belongs to.  Lines are spread by range over table and ``order_by`` (a hash
     of the line splits ties), so a table is in order over its part files, a large one is split and small ones share a task.

@@ -16,7 +16,7 @@ from caudal.plans import (
     semantic_table, shared_locations, with_observation_statistics, write_tables_a, write_tables_b,
 )
 from caudal import sinks, sources
-from caudal.session import scratch_dir
+from caudal.session import literal_table, scratch_dir
 from caudal.streaming import ingest_observations, ingest_pages, ingest_records, read_ingested, read_sketches
 from caudal.workload import views as V
 from caudal.workload.registry import query
@@ -157,11 +157,12 @@ def series_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return named.select("STATION_ID", "EXTERNAL_PARAMETER_ID", "UNIT", "variableName")
 
 
-@query("dictionary_last", with_(DICTIONARY) + """
-SELECT upper(md5('var' || v)) AS "variableCode", name AS "variableName", dunit AS "unitName" FROM di""")
+@query("dictionary_last", """
+SELECT 'V' || (p_partkey * 3 // 5) AS "variableCode", arg_max(p_name, p_partkey) AS "variableName", arg_max(p_brand, p_partkey) AS "unitName"
+FROM part GROUP BY p_partkey * 3 // 5""")
 def dictionary_last(spark: SparkSession, sf: str) -> DataFrame:
     """A-04: last row per code."""
-    return series.latest_variables(V.dictionary(spark, sf))
+    return series.latest_variables(V.part_dictionary(spark, sf))
 
 
 _CHILD = '"PARENT_ID" || \'_WHO_\' || CAST(CAST(floor(h) AS BIGINT) AS VARCHAR) || \'_\' || code'
@@ -387,6 +388,53 @@ def job_tables_a_written(spark: SparkSession, sf: str) -> DataFrame:
     return series.combine_steps([*parts, back(other, "other")])
 
 
+@query("job_tables_a_complete", with_(STATIONS, SERIES, DICTIONARY, _ALL_NAMES) + f""", harvested AS (
+  SELECT * FROM se WHERE {_DEFAULTS}),
+joined AS (
+  SELECT h.k AS series_k, h.v, h.h, st.k FROM harvested h JOIN st USING ("STATION_ID")
+  WHERE last_ >= TIMESTAMP '2001-10-22' AND h.k % 29 <> 0 AND "LONGITUDE" BETWEEN -68 AND -42),
+flat AS (SELECT * FROM joined WHERE h IS NOT NULL),
+named AS (SELECT * FROM flat JOIN di USING (v) WHERE code IS NOT NULL)
+SELECT 'harvested' AS what, (SELECT count(*) FROM harvested) AS rows
+UNION ALL SELECT 'unreadable', (SELECT count(*) FROM harvested WHERE k % 29 = 0 AND k % 23 <> 0)
+UNION ALL SELECT 'joined', (SELECT count(*) FROM joined) UNION ALL SELECT 'flat', (SELECT count(*) FROM flat)
+UNION ALL SELECT 'stations', (SELECT count(DISTINCT k) FROM flat) UNION ALL SELECT 'series', (SELECT count(*) FROM named)
+UNION ALL SELECT 'locations.csv', (SELECT count(DISTINCT k) FROM flat) UNION ALL SELECT 'timeseries.csv', (SELECT count(*) FROM flat)
+UNION ALL SELECT 'points.json', (SELECT count(*) FROM st WHERE "LONGITUDE" BETWEEN -68 AND -42)
+UNION ALL SELECT 'series.json', (SELECT count(*) FROM harvested)
+UNION ALL SELECT 'by variable', (SELECT count(*) FROM named)""")
+def job_tables_a_complete(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-01 with the flat table, the raw dumps and the counts of every stage (SNK-04, A-06, F-06): what was counted and what was written."""
+    from hashlib import md5
+
+    points, items, dictionary = quantity_columns(spark, sf)
+    end = F.when((F.col("_k") % 29 == 0) & F.col("phenomenonTime").isNotNull(), F.lit("no instant")).otherwise(F.col("phenomenonTime.end"))
+    items = items.withColumn("phenomenonTime", F.when(F.col("phenomenonTime").isNotNull(), F.struct(F.col("phenomenonTime.begin").alias("begin"), end.alias("end"))))
+    tables = make_tables_a(
+        points, items, dictionary, AS_OF, west=-68.0, east=-42.0,
+        default_properties=[md5(f"var{i}".encode()).hexdigest().upper() for i in (2, 5)],
+    )
+    path = scratch_dir(spark, "tables-a")
+    counts = write_tables_a(tables, path, flat=True, raw=True)
+    read = {n: spark.read.option("header", True).csv(f"{path}/{n}") for n in ("locations.csv", "timeseries.csv")}
+    read |= {n: spark.read.json(f"{path}/{n}") for n in ("points.json", "series.json")}
+    fixed = [sources.read_series_csv(spark, f"{path}/{n}.csv", columns).select("STATION_ID") for n, columns in S.SERIES_COLUMNS.items()]
+    read["by variable"] = series.combine_steps([*fixed, spark.read.option("header", True).csv(f"{path}/other").select("STATION_ID")])
+    written = [rows.agg(F.lit(n).alias("what"), F.count(F.lit(1)).alias("rows")) for n, rows in read.items()]
+    counted = literal_table(spark, "what string, rows long", list(counts.items()))
+    return series.combine_steps([counted, *written])
+
+
+@query("unreadable_instants", with_(SERIES) + """
+SELECT 'begin' AS field, count(*) AS rows, count(*) FILTER (k % 23 = 0) AS missing, 0 AS unreadable FROM se
+UNION ALL SELECT 'end', count(*), count(*) FILTER (k % 23 = 0), count(*) FILTER (k % 23 <> 0 AND k % 7 = 0) FROM se""")
+def unreadable_instants(spark: SparkSession, sf: str) -> DataFrame:
+    """F-06, F-07: how many series an activity filter leaves out because their end is missing or no instant."""
+    broken = F.when(F.col("_k") % 7 == 0, F.concat(F.col("phenomenonTime.end"), F.lit("?"))).otherwise(F.col("phenomenonTime.end"))
+    counts = quality.instant_counts(V.series_items(spark, sf), {"begin": F.col("phenomenonTime.begin"), "end": broken})
+    return counts.select("field", "rows", "missing", "unreadable")
+
+
 @query("fixed_columns", with_(STATIONS, SERIES, DICTIONARY) + f"""
 SELECT "STATION_ID", "STATION_NAME", "EXTERNAL_PARAMETER_ID" AS "EXTERNAL_LOCATION_ID", "EXTERNAL_PARAMETER_ID",
   h AS "TIMESTEP_HOUR", CAST(NULL AS DOUBLE) AS "THRESHOLD_LOW", CAST(NULL AS DOUBLE) AS "THRESHOLD_MEAN",

@@ -152,6 +152,15 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def part_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Variable rows from parts; 40 in 100 codes repeat, in the order of the parts."""
+    p = F.col("p_partkey")
+    return table(spark, sf, "part").select(
+        F.concat(F.lit("V"), F.floor(p * 3 / 5).cast("string")).alias("variableCode"), F.col("p_name").alias("variableName"),
+        F.col("p_brand").alias("unitName"), p.alias("input_order"),
+    )
+
+
 def basin_rings(spark: SparkSession, sf: str) -> DataFrame:
     """A polygon per nation: square, square with a hole, or L-shape, overlapping the next ones."""
     n = F.col("n_nationkey")

@@ -188,6 +188,28 @@ def test_stage_counts_and_empty_stage(spark):
         quality.require_rows(seen, "none")
 
 
+def test_a_counter_that_fails_is_an_error(spark):
+    """Only a metric that is not there means no rows."""
+    class Gone:
+        get = {}
+
+    class Broken:
+        @property
+        def get(self):
+            raise RuntimeError("no connection")
+
+    assert quality.observed_rows(Gone()) == 0
+    with pytest.raises(RuntimeError, match="no connection"):
+        quality.require_rows(Broken(), "none")
+
+
+def test_instants_that_are_none_are_counted(spark):
+    rows = [("2024-01-01T00:00:00Z",), ("2024-13-01",), (None,), ("",), ("2024-02-30T00:00:00Z",)]
+    frame = spark.createDataFrame(rows, "end string")
+    [r] = quality.instant_counts(frame, {"end": F.col("end")}).collect()
+    assert (r.field, r.rows, r.missing, r.unreadable) == ("end", 5, 1, 3)
+
+
 def test_semi_joins(spark):
     a = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "PARENT_ID string, n int")
     b = spark.createDataFrame([("x",), ("x",), ("z",)], "PARENT_ID string")
