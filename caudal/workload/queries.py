@@ -1128,7 +1128,7 @@ def metadata_formats(spark: SparkSession, sf: str) -> DataFrame:
 @query("basin_geojson", with_(STATIONS, BASINS) + """
 SELECT "STATION_ID", basin AS "SUBBASIN" FROM st LEFT JOIN lo USING (k)""")
 def basin_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-14, J-08: basins from a GeoJSON file, small grid cells."""
+    """SRC-14, J-08: basins from a GeoJSON file, cells split until they hold four edges."""
     path = scratch_dir(spark, "basins")
     rings = V.basin_rings(spark, sf)
     feature = F.struct(
@@ -1140,7 +1140,7 @@ def basin_geojson(spark: SparkSession, sf: str) -> DataFrame:
     ).write.mode("overwrite").text(path)
     table = stations.stations_a(V.points(spark, sf))
     located = spatial.assign_basin(
-        table.drop("SUBBASIN"), sources.read_basins(spark, path), "LONGITUDE", "LATITUDE", "SUBBASIN", cell=0.7
+        table.drop("SUBBASIN"), sources.read_basins(spark, path), "LONGITUDE", "LATITUDE", "SUBBASIN", most=4
     )
     return located.select("STATION_ID", "SUBBASIN")
 
