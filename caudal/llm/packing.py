@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.common import parts
+from caudal.llm.common import parts, stage
 from caudal.llm.tokens import BATCH_BYTES, KEPT_PIECES, cut, piece_table
 
 END_ID = 0
@@ -25,10 +27,11 @@ def lengths(n: int, longest: int) -> list[int]:
 def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bool = False, kept: int = KEPT_PIECES) -> DataFrame:
     """One row per piece: each document's ids (with the end id 0) cut into powers of two.
 
-    A piece is a sequence of its own, so no sequence crosses documents and none needs padding;
-    sequences of one ``length`` form a bucket that is trained on together.  ``sequence_id`` numbers
-    the pieces by scan task, without a shuffle: a task that runs again reads the same split and gives
-    the same numbers.  ``with_ids`` adds the ids as ``ids array<int>``.
+    A piece is a sequence of its own, so no sequence crosses documents and none needs padding.
+    Sequences of one ``length`` form a bucket that is trained on together: ``sequence_id`` counts the longest ones
+    first, so a bucket is a range of numbers without gaps.  Pieces are written once, numbered by length within their task;
+    one count for each task and length, summed over the tasks, turns these into numbers of the whole, and no piece is shuffled for it.
+    ``with_ids`` adds the ids as ``ids array<int>``.
     ``kept`` bounds the pieces of text a worker remembers (memory against time, the result is the same).
     NULL or empty text is the end id alone; repeated rows are packed each by itself; a NULL id
     stays NULL; other columns are never read; an empty table gives an empty result.
@@ -38,9 +41,11 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bo
     end = array("I", [END_ID]).tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
+    names, kinds = [*names, "task", "nth"], [*kinds, pa.int64(), pa.int64()]
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = piece_table(tokenizer_path, True)
+        task, seen = TaskContext.get().partitionId(), Counter()
         for batch in parts(batches, BATCH_BYTES):
             lists = [cut(tokenizer_path, x or "") for x in batch.column("text").to_pylist()]
             bounds, every = known.batch(lists, kept)
@@ -50,16 +55,25 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 1024, with_ids: bo
                 n, start = len(ids) // 4, 0
                 for length in lengths(n, longest):
                     piece = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(piece), n) + ((array("I", piece).tolist(),) if with_ids else ()))
-                    start += length
+                    own = (array("I", piece).tolist(),) if with_ids else ()
+                    rows.append((doc_id, start, length, zlib.crc32(piece), n, *own, task, seen[length]))
+                    start, seen[length] = start + length, seen[length] + 1
             for i in range(0, len(rows), 20_000):
                 columns = zip(*rows[i : i + 20_000], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids array<int>" if with_ids else "")
-    return rows.mapInArrow(cut_up, schema).select(
-        *names[:5], F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *names[5:]
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids array<int>" if with_ids else "") + ", task long, nth long"
+    pieces = stage(rows.mapInArrow(cut_up, schema), "pieces")
+    counts = pieces.groupBy("length", "task").agg((F.max("nth") + 1).alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("length").agg(F.sum("n").alias("n"))  # one row a length
+    longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(F.col("length"), F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("base"))
+    firsts = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).join(F.broadcast(bases), "length")
+    placed = pieces.join(firsts.select("length", "task", (F.col("base") + F.col("first")).alias("first")), ["length", "task"])
+    return placed.select(
+        *names[:5], (F.col("first") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *names[5:-2]
     )
 
 
@@ -67,6 +81,7 @@ def write_buckets(packed: DataFrame, path: str) -> None:
     """The pieces (``with_ids``) as one folder per length, ready for batches of equal lengths.
 
     Rebalanced by length, so that a folder has few files and the bucket of full sequences,
-    which holds most ids, is still written by many tasks.
+    which holds most ids, is still written by many tasks.  Repeated pieces are written as often as they occur, a NULL id stays NULL,
+    and without pieces there is no folder.
     """
     packed.hint("rebalance", "length").write.partitionBy("length").mode("overwrite").parquet(path)

@@ -203,7 +203,9 @@ def test_packing_and_counts(llm):
         assert r.length & (r.length - 1) == 0 and r.length <= 64 and r.offset == 0
         assert r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
         by_doc[r.doc_id].append(r)
-    assert len({r.sequence_id for r in found}) == len(found)
+    assert sorted(r.sequence_id for r in found) == list(range(len(found)))
+    # A bucket of equal lengths is a range of numbers, the longest first.
+    assert [r.length for r in sorted(found, key=lambda r: r.sequence_id)] == sorted((r.length for r in found), reverse=True)
     counts = collections.Counter(d for d, _ in rows)
     for d, t in rows:
         if counts[d] == 1:
