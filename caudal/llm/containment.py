@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from caudal.llm.common import parts
 from caudal.llm.rolling import Rolling
 
-#: Characters of items that one pass over the documents looks for; more items take more passes.
-SLICE_CHARS = 32 << 20
+#: Characters of items that one pass over the documents looks for; more items take more passes.  The index of a slice takes
+#: about 30 bytes a character in every Python worker, 120 MB for a full one.
+SLICE_CHARS = 4 << 20
 BATCH_BYTES = 1 << 20
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -129,7 +130,11 @@ def find_items(docs: DataFrame, items: DataFrame, n: int = SHINGLE, threshold: f
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD, slice_chars: int = SLICE_CHARS) -> DataFrame:
-    """The documents, all columns as they are, that hold no item to the threshold (see :func:`find_items`)."""
+    """The documents, all columns as they are, that hold no item to the threshold (see :func:`find_items`).
+
+    Each document is judged by its whole text alone: repeated rows stay or go together, NULL or empty text holds no item and
+    stays, NULL ids do not matter.  Without items all documents stay; an empty table stays empty; columns of any name are kept.
+    """
     for some in _slices(items, slice_chars):
         shared = docs.sparkSession.sparkContext.broadcast(Index(some, n, threshold))
 

@@ -258,7 +258,7 @@ def train(rows: list[tuple[str, str]], rounds: int = 4, batch: int = 150, rate:
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, longest: int = SAMPLE_CHARS, total: int = SAMPLE_TOTAL) -> list[tuple[str, str]]:
-    """A bounded sample of labelled rows: about ``per_language`` documents of each language, by a hash of id and text.
+    """A bounded sample of labelled rows: about ``per_language`` documents of each language, by a hash of id, text and place in the table.
 
     Every language is sampled.  Of so many that ``per_language`` of each are more than ``total``, each gives an equal share,
     at least one document.  A text over ``longest`` characters gives a span of that length, its place told by the
@@ -269,11 +269,13 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS, longest: int = SAMP
     if not counts:
         return []
     per_language = max(1, min(per_language, total // len(counts)))
-    scale = 1 << 20
+    # Fine enough that the draw stays small however many rows a language has.
+    scale = 1 << 40
     # So many are drawn that hardly any language comes out short, however small its share.
     drawn = max(3 * per_language // 2, per_language + 20)
     shares = docs.sparkSession.createDataFrame([(x, min(scale, 1 + drawn * scale // n)) for x, n in counts.items()], "lang string, share long")
-    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale))
+    # Rows equal in id and text are drawn each by itself, so a text of very many copies is neither left out nor drawn whole.
+    dealt = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(scale))
     h, size = F.xxhash64("text", "doc_id"), F.length("text")
     span = F.when(size <= longest, F.col("text")).otherwise(F.col("text").substr((F.pmod(h, size - longest + 1) + 1).cast("int"), F.lit(longest)))
     rows = known.join(F.broadcast(shares), "lang").where(dealt < F.col("share")).select("lang", span.alias("text"), h.alias("h")).collect()
@@ -308,7 +310,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def only_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The documents, all columns as they are, whose language is told with a score of ``least`` or more."""
+    """The documents, all columns as they are, whose language is told with a score of ``least`` or more.
+
+    Text that is NULL, empty or without letters has no language and goes; repeated rows stay or go together; a label that the row
+    has already says nothing; an empty table stays empty; columns of any name are kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
