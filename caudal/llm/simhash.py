@@ -114,8 +114,8 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     """``a, b``: links of distinct fingerprints that connect all within the radius.
 
     Every table of the cover holds each fingerprint under its masked bits.  Buckets of one are left; a bucket of
-    more than ``BLOCK`` is cut into blocks and each pair of blocks is compared by itself, so no
-    task holds a bucket.  A comparison gives one link per point, to the smallest it is connected with.
+    more than ``BLOCK`` is numbered by a window, which spills, and cut into blocks; each pair of blocks is compared by
+    itself, so no task compares a bucket.  A comparison gives one link per point, to the smallest it is connected with.
     """
     cover = [_signed(m) for m in masks(radius)]
     tables = F.array(*[F.struct(F.lit(k).alias("k"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(cover)])
