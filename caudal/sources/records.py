@@ -153,7 +153,9 @@ def parse_record_text(pages: DataFrame, *keep: str) -> DataFrame:
         return F.call_function("rlike", piece, F.concat(F.lit("^"), F.col("start")))
 
     around = _declared(F.when(is_record(head), F.lit("")).otherwise(head))
-    rows = pieces.select(*keep, "start", around.alias("around"), F.explode("pieces").alias("record")).filter(is_record(F.col("record")))
+    # Told from the page before it is dealt out, so that no record carries its page along.
+    told = pieces.select(*keep, "start", "pieces", around.alias("around"))
+    rows = told.select(*keep, "start", "around", F.explode("pieces").alias("record")).filter(is_record(F.col("record")))
     head = F.regexp_extract("record", rf"(?s)^(.*?)</{_PREFIX}header>", 1)
     wrapped = rf"(?s)<{_PREFIX}metadata((?:\s[^>]*)?)>\s*(.*\S)\s*</{_PREFIX}metadata>"
     opened = F.concat(F.regexp_extract("record", r"^<[^>]*>", 0), F.regexp_extract("record", wrapped, 1))
