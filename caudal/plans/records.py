@@ -15,16 +15,18 @@ from caudal.sources import (
 
 
 def record_harvest(
-    spark: SparkSession, landing: str, output: str | None = None, set_spec=None, per_record: bool = False
+    spark: SparkSession, landing: str, output: str | None = None, set_spec=None, per_record: bool = False,
+    index: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records of a landing folder and the completeness of each harvest in it (JOB-06).
 
-    ``output`` gets their XML, as a table or (``per_record``) as files by name; ``quality.missing_intervals`` tells what to ask for again.
+    ``output`` gets their XML, as a table or (``per_record``) as files by name, whose names go
+    to a table in the folder ``index``; ``quality.missing_intervals`` tells what to ask for again.
     """
     everything = read_records(spark, landing)
     records = records_where(everything, set_spec=set_spec)
     if output is not None:
-        write_records_xml(records, output, per_record)
+        write_records_xml(records, output, per_record, index)
     return records, quality.completeness(everything, read_page_tokens(spark, landing))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from caudal import dictionaries as D
 from caudal import schemas as S
 from caudal.session import scratch_dir
-from caudal.sinks.named import records_as_files, write_named
+from caudal.sinks.named import records_as_files, shuffle_partitions, write_named
 from caudal.sinks.tables import Table, partition_folder, write_tables
 
 
@@ -172,13 +172,15 @@ def records_as_xml(records: DataFrame) -> DataFrame:
     )
 
 
-def write_records_xml(records: DataFrame, path: str, per_record: bool = False) -> None:
+def write_records_xml(records: DataFrame, path: str, per_record: bool = False, index: str | None = None) -> None:
     """Record XML as one table of (identifier, value), or as a file ``<identifier>.xml`` per record.
 
     A file per record is what a consumer of single files needs, but millions of
-    small files are not a table; the table is the default.
+    small files are not a table; the table is the default.  ``index`` is a folder for a table of the files' names.
     """
     if per_record:
-        write_named(records_as_files(records), path)
+        # By number: small files take time each, and partitions merged by their bytes would leave them to a few tasks.
+        dealt = records_as_files(records).repartition(shuffle_partitions(records.sparkSession), "name")
+        write_named(dealt, path, index=index)
     else:
         records_as_xml(records).write.mode("overwrite").parquet(path)

@@ -124,7 +124,9 @@ def _carried(metadata: Column, scope: Column) -> Column:
         )), F.lit(")[^>]*>"))
         upto = F.call_function("regexp_extract", metadata, tag, F.lit(0))
         name = F.when(prefix == "", F.lit(r"\sxmlns\s*=")).otherwise(F.concat(F.lit(r"\sxmlns:"), _escaped(prefix), F.lit(r"\s*=")))
-        return (upto != "") & ~F.call_function("rlike", upto, name)
+        # Most prefixes of a page do not occur in most records: told without a pattern made for each.
+        occurs = (prefix == "") | F.contains(metadata, F.concat(prefix, F.lit(":")))
+        return occurs & (upto != "") & ~F.call_function("rlike", upto, name)
 
     def declaration(prefix: Column) -> Column:
         uri = F.get(F.filter(inner_first, lambda x: x["prefix"] == prefix), F.lit(0))["uri"]
@@ -163,4 +165,7 @@ def parse_record_text(pages: DataFrame, *keep: str) -> DataFrame:
         *keep, *_header(head), F.nullif(F.regexp_extract("record", wrapped, 2), F.lit("")).alias("metadata"),
         F.concat("around", _declared(opened)).alias("scope"),
     )
-    return parts.select(*[c for c in parts.columns if c not in ("metadata", "scope")], _carried(F.col("metadata"), F.col("scope")).alias("metadata"))
+    # Spelled so that a filter for records with metadata asks for the text served alone and does not work out its declarations.
+    served = F.col("metadata")
+    metadata = F.when(served.isNotNull(), F.coalesce(_carried(served, F.col("scope")), served, F.lit("")))
+    return parts.select(*[c for c in parts.columns if c not in ("metadata", "scope")], metadata.alias("metadata"))

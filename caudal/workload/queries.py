@@ -1091,10 +1091,9 @@ SELECT 'id-' || c_custkey || '.xml' AS name, replace({_METADATA}, '"><wmdr:name>
 FROM customer WHERE c_custkey % 9 <> 0""")
 def record_files(spark: SparkSession, sf: str) -> DataFrame:
     """JOB-06, SNK-05: a file <identifier>.xml per record, read back."""
-    out = scratch_dir(spark, "record-files")
-    record_harvest(spark, V.land_records(spark, sf), out, per_record=True)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(out)
-    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.decode("content", "UTF-8").alias("value"))
+    out, index = scratch_dir(spark, "record-files"), scratch_dir(spark, "record-names")
+    record_harvest(spark, V.land_records(spark, sf), out, per_record=True, index=index)
+    return sinks.read_named(spark, out, index).select("name", F.decode("value", "UTF-8").alias("value"))
 
 
 @query("page_copies", """

@@ -179,6 +179,32 @@ def test_a_task_that_runs_again_leaves_the_same_files(tmp_path):
             writer.write(iter([pa.RecordBatch.from_pydict({"name": [bad], "value": [b"1"]})]))
 
 
+def test_files_are_read_back_by_the_names_written(spark, tmp_path):
+    """Names are dealt out as a table: what reads the files does not become more tasks with more files, and no file is left out."""
+    from caudal.sinks.named import NamedFilesWriter, shuffle_partitions
+
+    records = spark.range(300).selectExpr("concat('id ', id) AS identifier", "'2020' AS datestamp", "concat('<R>', repeat('é', id), '</R>') AS metadata")
+    out, index = str(tmp_path / "files"), str(tmp_path / "names")
+    for n in (300, 40):
+        sinks.write_records_xml(records.limit(n).coalesce(1), out, per_record=True, index=index)
+        back = sinks.read_named(spark, "file:" + out, index)
+        assert {r.name: bytes(r.value) for r in back.collect()} == files_of(tmp_path / "files") and back.count() == n
+        assert back.rdd.getNumPartitions() == shuffle_partitions(spark)
+    # The one partition of records was dealt out before its files were written.
+    assert len(list((tmp_path / "names").glob("*.parquet"))) >= shuffle_partitions(spark) > 1
+    assert not list((tmp_path / "files").glob("_part-*")) + list((tmp_path / "names").glob("_part-*"))
+    (tmp_path / "files" / "id%203.xml").unlink()
+    with pytest.raises(Exception, match="id%203.xml"):
+        back.collect()
+    with pytest.raises(ValueError):
+        sinks.write_named(back, out, "append", index)
+    # No names, no rows.
+    sinks.write_records_xml(records.limit(0), out, per_record=True, index=index)
+    assert sinks.read_named(spark, out, index).collect() == []
+    NamedFilesWriter(out, True)
+    assert files_of(tmp_path / "files") == {}
+
+
 def test_pages_are_copied_byte_for_byte(spark, tmp_path):
     token = '<x><resumptionToken completeListSize="9" cursor="{}">t</resumptionToken>{}</x>'
     pages = {

@@ -164,6 +164,17 @@ def test_record_pages(spark, tmp_path):
     assert [(d.records, d.expected, d.last_cursor, d.complete) for d in done] == [(3, 3, 3, True)]
 
 
+def test_records_with_metadata_are_told_without_their_declarations(spark, tmp_path):
+    """A filter on the metadata looks at the text served; the declarations it gets from the page are worked out once, for what stays."""
+    page = PAGE.format(records=record(1) + record(2, False), token="")
+    found = sources.read_records(spark, put(tmp_path, "p.xml", page.replace("<OAI-PMH", '<OAI-PMH xmlns:z="urn:z"', 1)))
+    some = found.where("metadata IS NOT NULL").select("identifier")
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    # Left: the declarations of the protocol at the page's head, and those of the page's sets; none by record.
+    assert "xmlns:" not in plan and [r.identifier for r in some.collect()] == ["id1"]
+    assert found.where("metadata IS NULL").select("identifier").collect()[0].identifier == "id2"
+
+
 def test_records_under_a_prefix(spark, tmp_path):
     page = (
         '<o:OAI-PMH xmlns:o="http://www.openarchives.org/OAI/2.0/"><o:ListRecords>'
